@@ -52,7 +52,7 @@ def read_sensor_csv(
     """
     df = spark.read.schema(sensor_schema(columns)).option("header", header).csv(path)
     if device_pattern:
-        number = F.regexp_extract(F.col("_metadata.file_name"), device_pattern, 1)
+        number = F.regexp_extract(F.col("_metadata.file_path"), device_pattern, 1)
         df = df.withColumn("device_id", number.try_cast("int"))
     return df
 
