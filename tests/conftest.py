@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from tremorlake.plans import clear_scratch  # noqa: E402
 from tremorlake.session import local_session  # noqa: E402

@@ -175,8 +175,8 @@ def features_energy_ratio(spark, d):
     "features_change_quantiles",
     f"""SELECT user_id, round(coalesce(avg(s), 0), 6) AS change_quantiles_mean,
                round(coalesce(avg(abs(s)), 0), 6) AS change_quantiles_mean_abs,
-               round(coalesce(var_pop(s), 0), 5) AS change_quantiles_var,
-               round(coalesce(var_pop(abs(s)), 0), 5) AS change_quantiles_var_abs FROM (
+               round(coalesce(var_pop(s), 0), 4) AS change_quantiles_var,
+               round(coalesce(var_pop(abs(s)), 0), 4) AS change_quantiles_var_abs FROM (
           SELECT e.user_id, CASE WHEN value BETWEEN ql AND qh AND l1 BETWEEN ql AND qh THEN value - l1 END AS s
           FROM ({_SEQ}) e JOIN (SELECT user_id, quantile_cont(value, 0.2) AS ql, quantile_cont(value, 0.8) AS qh
                                 FROM events GROUP BY user_id) q ON e.user_id = q.user_id) GROUP BY user_id""",
@@ -184,7 +184,7 @@ def features_energy_ratio(spark, d):
 def features_change_quantiles(spark, d):
     out = ordered.change_quantiles(positioned(spark, d, "value"), ["user_id"], "value")
     var = ["change_quantiles_var", "change_quantiles_var_abs"]
-    return r6(out, *var).withColumns({c: F.round(c, 5) for c in var})
+    return r6(out, *var).withColumns({c: F.round(c, 4) for c in var})
 
 
 @query(

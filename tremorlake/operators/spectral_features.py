@@ -98,18 +98,27 @@ def correlation_summary(
 
 def linear_trend(df: DataFrame, by: Sequence[str], value: str, pos: str = "pos") -> DataFrame:
     """Slope, intercept, correlation and standard error of the regression on the position."""
-    n = F.count(value)
-    fit = df.groupBy(*by).agg(
-        F.regr_slope(value, pos).alias("slope"),
-        F.regr_intercept(value, pos).alias("intercept"),
-        F.corr(value, pos).alias("rvalue"),
-        n.alias("_n"),
+    place = F.when(F.col(value).isNotNull(), F.col(pos))
+    moments = df.groupBy(*by).agg(
+        F.count(value).alias("_n"),
+        F.avg(value).alias("_my"),
+        F.avg(place).alias("_mx"),
         F.var_pop(value).alias("_vy"),
-        F.var_pop(pos).alias("_vx"),
+        F.var_pop(place).alias("_vx"),
+        F.covar_pop(value, place).alias("_cov"),
+    )
+    # Not regr_slope and corr: these raise on a constant series in ANSI mode.
+    slope = F.try_divide(F.col("_cov"), F.col("_vx"))
+    fit = moments.withColumns(
+        {
+            "slope": slope,
+            "intercept": F.col("_my") - slope * F.col("_mx"),
+            "rvalue": F.try_divide(F.col("_cov"), F.sqrt(F.col("_vx")) * F.sqrt(F.col("_vy"))),
+        }
     )
     residual = (1 - F.col("rvalue") ** 2) * F.try_divide(F.col("_vy"), F.col("_vx"))
     stderr = F.sqrt(F.greatest(F.try_divide(residual, F.col("_n") - 2), F.lit(0.0)))
-    return fit.withColumn("stderr", stderr).drop("_n", "_vx", "_vy")
+    return fit.withColumn("stderr", stderr).drop("_n", "_mx", "_my", "_vx", "_vy", "_cov")
 
 
 def agg_linear_trend(
