@@ -61,8 +61,9 @@ def test_forest_is_the_same_on_any_partitioning(planted):
 
 def test_pool_is_bounded(spark):
     df = spark.range(5000).withColumn("x", F.array(F.col("id").cast("double")))
-    assert draw_pool(df, ["id"], 300, 1).count() == 300
-    assert draw_pool(df, ["id"], 9000, 1).count() == 5000
+    for want, rows in ((300, 300), (5000, 9000)):
+        pool, size = draw_pool(df, ["id"], rows, 1)
+        assert pool.count() == size == want
 
 
 def test_tree_of_equal_rows_is_a_leaf():

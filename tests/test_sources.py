@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tremorlake.operators.kmeans import fit_kmeans
 from tremorlake.operators.normalize import fit_scaler
 from tremorlake.sources import csv, models
+from tremorlake.sources.series import read_series, write_series
 
 TEXT = "2018-07-09 12:00:00.25,1.5,-2.0,9.8\n2018-07-09 12:00:01,1.0,,9.7\n"
 
@@ -62,3 +63,10 @@ def test_models_round_trip(spark, tmp_path):
     assert [list(c) for c in again.clusterCenters()] == [list(c) for c in model.clusterCenters()]
     models.save_parameters(fit_scaler(df, "a"), str(tmp_path / "sc"))
     assert models.load_parameters(spark, str(tmp_path / "sc")).first()["mean"] == 10.0
+
+
+def test_series_layout(spark, tmp_path, rows):
+    df = spark.createDataFrame([(d, i * 3, float(i)) for d in (1, 2) for i in range(50)], "d int, i bigint, v double")
+    write_series(df.repartition(4, "v"), str(tmp_path / "s"), ["d"], ["i"])
+    got = read_series(spark, str(tmp_path / "s"))
+    assert rows(got.select("d", "pos", "i")) == [(d, i, 3 * i) for d in (1, 2) for i in range(50)]

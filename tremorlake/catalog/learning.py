@@ -7,7 +7,7 @@ from ..operators.iforest import fit_forest, predict_forest
 from ..operators.kmeans import assign_clusters, centres, cluster_rarity, fit_kmeans, kmeans_anomalies, silhouette
 from ..operators.normalize import znorm
 from ..operators.reconstruct import fit_linear, label_losses, reconstruction_loss
-from ..operators.smooth import lag_windows, moving_average, rolling_mean
+from ..operators.smooth import moving_average, smoothed_windows
 from ..operators.stats import percentile_threshold
 from ..plans import attach_scalar, write_scratch
 from .registry import events, query, table, with_day
@@ -68,8 +68,7 @@ def iforest_embeddings(spark, d):
 
 def event_windows(spark, d):
     df = znorm(positioned(spark, d, "value"), "value", ddof=0, digits=None)
-    df = rolling_mean(df, "zscale", ["user_id"], 3, out="smoothed")
-    df = lag_windows(df, "smoothed", ["user_id"], 5)
+    df = smoothed_windows(df, "zscale", ["user_id"], 3, 5)
     return write_scratch(df.select("event_id", "user_id", "window"), "windows")
 
 

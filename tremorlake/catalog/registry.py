@@ -5,6 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.frames import chunk_of
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -33,7 +35,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_block() -> Column:
     """``event_id`` is unique and follows the time, so a block holds a bounded number of rows."""
-    return F.floor(F.col("event_id") / INDEX_BLOCK)
+    return chunk_of("event_id", INDEX_BLOCK)
 
 
 def with_day(df: DataFrame) -> DataFrame:

@@ -51,8 +51,13 @@ def tails(df: DataFrame, value: str, low: float, high: float) -> DataFrame:
 
 
 def in_bucket(df: DataFrame, value: str, bucket: float, digits: int = 0) -> DataFrame:
-    """Rows whose value rounds to ``bucket``, compared as integers."""
-    return df.filter(int_bucket(value, digits) == F.lit(round(bucket * 10**digits)))
+    """Rows whose value rounds to ``bucket``, compared as integers.
+
+    A slightly wider band is tested too, because a plain band reaches the scan.
+    """
+    number = round(bucket * 10**digits)
+    low, high = (number - 0.501) / 10**digits, (number + 0.501) / 10**digits
+    return df.filter(F.col(value).between(low, high) & (int_bucket(value, digits) == F.lit(number)))
 
 
 def canonical_axis(

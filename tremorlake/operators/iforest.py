@@ -67,14 +67,15 @@ def _unit_hash(*columns) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
-def draw_pool(df: DataFrame, row_key: Sequence[str], rows: int, seed: int) -> DataFrame:
-    """The ``rows`` rows with the smallest hash: a sample that no repartitioning changes."""
+def draw_pool(df: DataFrame, row_key: Sequence[str], rows: int, seed: int) -> tuple[DataFrame, int]:
+    """The ``rows`` rows with the smallest hash, a sample that no repartitioning changes, and how
+    many rows that are."""
     n = df.count()
     u = df.withColumn("_u", _unit_hash(F.lit(seed), *row_key))
     if n > rows:
         # Only about 1.5 x rows rows take part in the selection.
         u = u.filter(F.col("_u") < 1.5 * rows / n).orderBy("_u", *row_key).limit(rows)
-    return u
+    return u, min(n, rows)
 
 
 def fit_forest(
@@ -89,11 +90,13 @@ def fit_forest(
 ) -> Forest:
     """``features`` is an array column. The threshold is the (1 - contamination) quantile of the
     training scores."""
-    spark = df.sparkSession
     rows = df.select(*row_key, features).filter(F.col(features).isNotNull())
-    pool = draw_pool(rows, row_key, trees * sample_rows, seed)
+    pool, size = draw_pool(rows, row_key, trees * sample_rows, seed)
     drawn = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    drawn = drawn.withColumn("_t", _unit_hash(F.lit(seed), "tree", *row_key))
+    # Twice the rows a tree needs, and then the smallest hashes among them.
+    drawn = drawn.withColumn("_t", _unit_hash(F.lit(seed), "tree", *row_key)).filter(
+        F.col("_t") < (2.0 * sample_rows + 64) / max(size, 1)
+    )
     w = Window.partitionBy("tree").orderBy("_t", *row_key)
     drawn = drawn.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= sample_rows)
 

@@ -101,7 +101,7 @@ def latest_n(df: DataFrame, device: str, index: str, n: int = 500, device_value=
     """The last ``n`` readings of one device, or of every device."""
     if device_value is not None:
         return df.filter(F.col(device) == device_value).orderBy(F.desc(index)).limit(n)
-    return top_k(df, n, [F.desc(index)], [device], spread=[index])
+    return top_k(df, n, [F.desc(index)], [device])
 
 
 def anomaly_overlay(df: DataFrame, label: str = "label") -> DataFrame:

@@ -11,12 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans import attach, exact_quantiles, framed, running_total
-from ..plans.frames import CHUNK_ROWS
+from ..plans import attach, exact_quantiles, framed, running_total, write_scratch
+from ..plans.frames import CHUNK_ROWS, chunk_of
 
 
-def _series_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*by).agg(
+def _with_stats(
+    df: DataFrame, by: list[str], value: str, pos: str, corridor: tuple[float, float] | None = None
+) -> DataFrame:
+    """Rows with the length, mean, deviation, extremes and mass of their series, and with the two
+    quantiles of ``corridor`` if given: one join for all that needs them."""
+    stats = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg(value).alias("_mean"),
         F.stddev_pop(value).alias("_sd"),
@@ -24,35 +28,29 @@ def _series_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         F.max(value).alias("_hi"),
         F.sum(F.abs(value)).alias("_mass"),
     )
+    if corridor:
+        low, high = corridor
+        stats = stats.join(exact_quantiles(df, value, {"_ql": low, "_qh": high}, by), by, "left")
+    return attach(df.select(*by, pos, value), stats, by, rows="_n")
 
 
-def change_features(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    pos: str = "pos",
-    lag: int = 1,
-    crossing: float = 0.0,
-    peak_support: int = 1,
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
-    """Changes between neighbours, lagged products, crossings, peaks and the places of extremes."""
-    by, v = list(by), F.col(value)
-    back = max(2, 2 * lag, peak_support)
-    joined = attach(df.select(*by, pos, value), _series_stats(df, by, value), by, rows="_n")
-
+def _neighbours(rows, by, value, pos, lag, peak_support, chunk_rows):
     def shifted(k: int):
         return lambda w: F.lag(value, k).over(w)
 
     columns = {"_l1": shifted(1), "_l2": shifted(2), "_la": shifted(lag), "_lb": shifted(2 * lag)}
     columns["_left"] = lambda w: F.max(value).over(w.rowsBetween(-peak_support, -1))
     columns["_right"] = lambda w: F.max(value).over(w.rowsBetween(1, peak_support))
-    rows = framed(joined, by, pos, back, peak_support, columns, chunk_rows=chunk_rows)
+    back = max(2, 2 * lag, peak_support)
+    return framed(rows, by, pos, back, peak_support, columns, chunk_rows=chunk_rows)
+
 
+def _change_aggregates(value: str, pos: str, crossing: float, peak_support: int) -> list[Column]:
+    v = F.col(value)
     step = v - F.col("_l1")
     full = (F.col(pos) >= peak_support) & (F.col(pos) < F.col("_n") - peak_support)
     at_max, at_min = v == F.col("_hi"), v == F.col("_lo")
-    out = rows.groupBy(*by).agg(
+    return [
         F.first("_n").alias("_n"),
         F.first("_sd").alias("_sd"),
         F.sum(F.abs(step)).alias("absolute_sum_of_changes"),
@@ -68,9 +66,12 @@ def change_features(
         F.max(F.when(at_max, F.col(pos))).alias("_last_max"),
         F.min(F.when(at_min, F.col(pos))).alias("_first_min"),
         F.max(F.when(at_min, F.col(pos))).alias("_last_min"),
-    )
+    ]
+
+
+def _change_columns(aggregated: DataFrame) -> DataFrame:
     n = F.col("_n").cast("double")
-    return out.withColumns(
+    return aggregated.withColumns(
         {
             "cid_ce_normalized": F.try_divide(F.col("cid_ce"), F.col("_sd")),
             "first_location_of_maximum": F.col("_first_max") / n,
@@ -81,6 +82,23 @@ def change_features(
     ).drop("_n", "_sd", "_first_max", "_last_max", "_first_min", "_last_min")
 
 
+def change_features(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    pos: str = "pos",
+    lag: int = 1,
+    crossing: float = 0.0,
+    peak_support: int = 1,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Changes between neighbours, lagged products, crossings, peaks and the places of extremes."""
+    by = list(by)
+    rows = _with_stats(df, by, value, pos)
+    rows = _neighbours(rows, by, value, pos, lag, peak_support, chunk_rows)
+    return _change_columns(rows.groupBy(*by).agg(*_change_aggregates(value, pos, crossing, peak_support)))
+
+
 def longest_run(
     df: DataFrame,
     by: Sequence[str],
@@ -97,7 +115,7 @@ def longest_run(
     by = list(by)
     length = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     breaks = df.filter(~F.coalesce(inside, F.lit(False))).select(
-        *by, F.col(pos).alias("_p"), F.floor(F.col(pos) / chunk_rows).alias("_c")
+        *by, F.col(pos).alias("_p"), chunk_of(pos, chunk_rows).alias("_c")
     )
     w = Window.partitionBy(*by, "_c").orderBy("_p")
     chunks = (
@@ -116,19 +134,32 @@ def longest_run(
     return length.join(runs, by, "left").select(*by, best.cast("bigint").alias(out))
 
 
+def _strikes(rows: DataFrame, by: list[str], value: str, pos: str, chunk_rows: int) -> DataFrame:
+    above = longest_run(rows, by, F.col(value) > F.col("_mean"), "longest_strike_above_mean", pos, chunk_rows)
+    below = longest_run(rows, by, F.col(value) < F.col("_mean"), "longest_strike_below_mean", pos, chunk_rows)
+    return above.join(below, by)
+
+
 def strike_features(
     df: DataFrame, by: Sequence[str], value: str, pos: str = "pos", chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Longest strikes above and below the mean."""
     by = list(by)
-    joined = attach(df.select(*by, pos, value), _series_stats(df, by, value), by, rows="_n")
-    above = longest_run(
-        joined, by, F.col(value) > F.col("_mean"), "longest_strike_above_mean", pos, chunk_rows
-    )
-    below = longest_run(
-        joined, by, F.col(value) < F.col("_mean"), "longest_strike_below_mean", pos, chunk_rows
+    return _strikes(_with_stats(df, by, value, pos), by, value, pos, chunk_rows)
+
+
+def _mass_quantiles(rows, by, value, quantiles, pos, chunk_rows) -> DataFrame:
+    mass = F.abs(F.col(value))
+    passed = running_total(rows, by, [pos], mass, "_before", chunk_of(pos, chunk_rows))
+    share = F.try_divide(F.coalesce("_before", F.lit(0.0)) + mass, F.col("_mass"))
+    return passed.groupBy(*by).agg(
+        *[
+            F.min(F.when(share >= q, (F.col(pos) + 1) / F.col("_n"))).alias(
+                f"index_mass_quantile_{q:g}".replace(".", "_")
+            )
+            for q in quantiles
+        ]
     )
-    return above.join(below, by)
 
 
 def index_mass_quantile(
@@ -141,43 +172,40 @@ def index_mass_quantile(
 ) -> DataFrame:
     """Share of the series after which a share q of the absolute mass has passed."""
     by = list(by)
-    rows = running_total(
-        df.select(*by, pos, value), by, [pos], F.abs(F.col(value)), "_before", F.floor(F.col(pos) / chunk_rows)
-    )
-    joined = attach(rows, _series_stats(df, by, value), by, rows="_n")
-    share = F.try_divide(F.coalesce("_before", F.lit(0.0)) + F.abs(F.col(value)), F.col("_mass"))
-    return joined.groupBy(*by).agg(
-        *[
-            F.min(F.when(share >= q, (F.col(pos) + 1) / F.col("_n"))).alias(
-                f"index_mass_quantile_{q:g}".replace(".", "_")
-            )
-            for q in quantiles
-        ]
-    )
+    return _mass_quantiles(_with_stats(df, by, value, pos), by, value, quantiles, pos, chunk_rows)
 
 
-def energy_ratio_by_chunks(
-    df: DataFrame, by: Sequence[str], value: str, segments: int = 4, pos: str = "pos"
-) -> DataFrame:
-    """Share of the energy in each of ``segments`` consecutive parts, the first ones longer by one."""
-    by = list(by)
-    length = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    joined = attach(df.select(*by, pos, value), length, by, rows="_n")
+def _energy_aggregates(value: str, pos: str, segments: int) -> list[Column]:
     size, longer = F.floor(F.col("_n") / segments), F.col("_n") % segments
     edge = longer * (size + 1)
     part = F.when(F.col(pos) < edge, F.floor(F.col(pos) / (size + 1))).otherwise(
         longer + F.floor(F.try_divide(F.col(pos) - edge, size))
     )
     e = F.col(value) * F.col(value)
-    total = F.sum(e)
-    return joined.withColumn("_part", part).groupBy(*by).agg(
-        *[
-            F.try_divide(F.sum(F.when(F.col("_part") == i, e).otherwise(0.0)), total).alias(
-                f"energy_ratio_{segments}_{i}"
-            )
-            for i in range(segments)
-        ]
-    )
+    return [
+        F.try_divide(F.sum(F.when(part == i, e).otherwise(0.0)), F.sum(e)).alias(f"energy_ratio_{segments}_{i}")
+        for i in range(segments)
+    ]
+
+
+def energy_ratio_by_chunks(
+    df: DataFrame, by: Sequence[str], value: str, segments: int = 4, pos: str = "pos"
+) -> DataFrame:
+    """Share of the energy in each of ``segments`` consecutive parts, the first ones longer by one."""
+    by = list(by)
+    return _with_stats(df, by, value, pos).groupBy(*by).agg(*_energy_aggregates(value, pos, segments))
+
+
+def _corridor_aggregates(value: str) -> list[Column]:
+    low, high = F.col("_ql"), F.col("_qh")
+    inside = F.col(value).between(low, high) & F.col("_l1").between(low, high)
+    step = F.when(inside, F.col(value) - F.col("_l1"))
+    return [
+        F.coalesce(F.avg(step), F.lit(0.0)).alias("change_quantiles_mean"),
+        F.coalesce(F.avg(F.abs(step)), F.lit(0.0)).alias("change_quantiles_mean_abs"),
+        F.coalesce(F.var_pop(step), F.lit(0.0)).alias("change_quantiles_var"),
+        F.coalesce(F.var_pop(F.abs(step)), F.lit(0.0)).alias("change_quantiles_var_abs"),
+    ]
 
 
 def change_quantiles(
@@ -191,29 +219,38 @@ def change_quantiles(
 ) -> DataFrame:
     """Mean and variance of changes between neighbours that both lie between two quantiles."""
     by = list(by)
-    q = exact_quantiles(df, value, {"_ql": low, "_qh": high}, by)
-    q = q.join(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
-    joined = attach(df.select(*by, pos, value), q, by, rows="_n")
-    rows = framed(
-        joined, by, pos, 1, 0, {"_l1": lambda w: F.lag(value).over(w)}, chunk_rows=chunk_rows
-    )
-    inside = F.col(value).between(F.col("_ql"), F.col("_qh")) & F.col("_l1").between(F.col("_ql"), F.col("_qh"))
-    step = F.when(inside, F.col(value) - F.col("_l1"))
-    return rows.groupBy(*by).agg(
-        F.coalesce(F.avg(step), F.lit(0.0)).alias("change_quantiles_mean"),
-        F.coalesce(F.avg(F.abs(step)), F.lit(0.0)).alias("change_quantiles_mean_abs"),
-        F.coalesce(F.var_pop(step), F.lit(0.0)).alias("change_quantiles_var"),
-        F.coalesce(F.var_pop(F.abs(step)), F.lit(0.0)).alias("change_quantiles_var_abs"),
-    )
+    rows = _with_stats(df, by, value, pos, (low, high))
+    rows = framed(rows, by, pos, 1, 0, {"_l1": lambda w: F.lag(value).over(w)}, chunk_rows=chunk_rows)
+    return rows.groupBy(*by).agg(*_corridor_aggregates(value))
 
 
-def ordered_features(df: DataFrame, by: Sequence[str], value: str, pos: str = "pos", **options) -> DataFrame:
-    """All order-dependent features, one row per series."""
+def ordered_features(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    pos: str = "pos",
+    lag: int = 1,
+    crossing: float = 0.0,
+    peak_support: int = 1,
+    corridor: tuple[float, float] = (0.2, 0.8),
+    segments: int = 4,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """All order-dependent features, one row per series.
+
+    The positioned rows with their statistics are written once and read by each part; one frame
+    serves all features of neighbours.
+    """
     by = list(by)
+    rows = write_scratch(_with_stats(df, by, value, pos, corridor), "positioned")
+    near = _neighbours(rows, by, value, pos, lag, peak_support, chunk_rows)
+    changes = near.groupBy(*by).agg(
+        *_change_aggregates(value, pos, crossing, peak_support),
+        *_energy_aggregates(value, pos, segments),
+        *_corridor_aggregates(value),
+    )
     return (
-        change_features(df, by, value, pos, **options)
-        .join(strike_features(df, by, value, pos), by)
-        .join(index_mass_quantile(df, by, value, (0.5,), pos), by)
-        .join(energy_ratio_by_chunks(df, by, value, 4, pos), by)
-        .join(change_quantiles(df, by, value, 0.2, 0.8, pos), by)
+        _change_columns(changes)
+        .join(_strikes(rows, by, value, pos, chunk_rows), by)
+        .join(_mass_quantiles(rows, by, value, (0.5,), pos, chunk_rows), by)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import write_scratch
-from ..plans.joins import BROADCAST_BYTES, _bytes
+from ..plans.joins import BROADCAST_BYTES, measured_bytes
 
 
 def in_slices(
@@ -33,7 +33,7 @@ def in_slices(
     match = F.col(ts).between(F.col("_from"), F.col("_to"))
     if device:
         match = match & (F.col(device) == F.col("_dev"))
-    if _bytes(cut, cut.columns) <= limit:
+    if measured_bytes(cut) <= limit:
         return df.join(F.broadcast(cut), match, "left_semi")
 
     def number(c):

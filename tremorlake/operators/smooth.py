@@ -33,6 +33,18 @@ def moving_average(
     )
 
 
+def _mean_of(value: str, n: int, need: int):
+    def mean(w):
+        f = w.rowsBetween(-(n - 1), 0)
+        return F.when(F.count(value).over(f) >= need, F.avg(value).over(f))
+
+    return mean
+
+
+def _last(value: str, steps: int):
+    return lambda w: F.collect_list(value).over(w.rowsBetween(-steps, -1))
+
+
 def rolling_mean(
     df: DataFrame,
     value: str,
@@ -45,12 +57,7 @@ def rolling_mean(
 ) -> DataFrame:
     """Mean of the row and the ``n - 1`` before it; NULL below ``min_periods`` readings."""
     need = n if min_periods is None else min_periods
-
-    def mean(w):
-        f = w.rowsBetween(-(n - 1), 0)
-        return F.when(F.count(value).over(f) >= need, F.avg(value).over(f))
-
-    return framed(df, keys, pos, n - 1, 0, {out: mean}, chunk_rows=chunk_rows)
+    return framed(df, keys, pos, n - 1, 0, {out: _mean_of(value, n, need)}, chunk_rows=chunk_rows)
 
 
 def rolling_mean_single_task(
@@ -81,13 +88,30 @@ def lag_windows(
 
     The row's own value is the next value of its window. A window never spans two series.
     """
+    cut = framed(df, keys, pos, steps, 0, {out: _last(value, steps)}, chunk_rows=chunk_rows)
+    return cut.filter(F.size(out) == steps)
+
+
+def smoothed_windows(
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    n: int,
+    steps: int,
+    pos: str = "pos",
+    smoothed: str = "smoothed",
+    out: str = "window",
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """``rolling_mean`` over ``n`` rows and ``lag_windows`` of it over ``steps``, in one shuffle."""
     cut = framed(
         df,
         keys,
         pos,
-        steps,
+        n - 1 + steps,
         0,
-        {out: lambda w: F.collect_list(value).over(w.rowsBetween(-steps, -1))},
+        {smoothed: _mean_of(value, n, n)},
+        {out: _last(smoothed, steps)},
         chunk_rows=chunk_rows,
     )
     return cut.filter(F.size(out) == steps)

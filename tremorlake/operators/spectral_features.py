@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import attach, framed
-from ..plans.frames import CHUNK_ROWS
+from ..plans.frames import CHUNK_ROWS, chunk_of
 
 
 def autocorrelation(
@@ -125,7 +125,7 @@ def agg_linear_trend(
     df: DataFrame, by: Sequence[str], value: str, part_rows: int = 10, pos: str = "pos"
 ) -> DataFrame:
     """Trend over the means of consecutive parts of ``part_rows`` rows."""
-    parts = df.groupBy(*by, F.floor(F.col(pos) / part_rows).alias("_part")).agg(F.avg(value).alias("_m"))
+    parts = df.groupBy(*by, chunk_of(pos, part_rows).alias("_part")).agg(F.avg(value).alias("_m"))
     return linear_trend(parts, by, "_m", "_part")
 
 
@@ -250,7 +250,7 @@ def segment_features(
     """
     by = list(by)
     rows = df.filter(F.col(value).isNotNull()).select(
-        *by, F.floor(F.col(pos) / segment_rows).cast("bigint").alias("segment"), F.col(pos).alias("_p"),
+        *by, chunk_of(pos, segment_rows).alias("segment"), F.col(pos).alias("_p"),
         F.col(value).cast("double").alias("_v"),
     )
     keys = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)

@@ -44,7 +44,7 @@ def extremes(
 ) -> DataFrame:
     """The ``k`` largest (or smallest) readings, overall or per group; ties go by ``tie``."""
     first = F.asc_nulls_last(value) if ascending else F.desc_nulls_last(value)
-    return top_k(df, k, [first, *[F.asc(t) for t in tie]], by, rank, spread=tie)
+    return top_k(df, k, [first, *[F.asc(t) for t in tie]], by, rank)
 
 
 def mean_and_deviation(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

@@ -20,13 +20,18 @@ CHUNK_ROWS = 65_536
 _CHUNK, _HALO = "_chunk", "_halo"
 
 
+def chunk_of(pos: str, chunk_rows: int) -> Column:
+    """Number of the chunk of a position, by integer division."""
+    return F.expr(f"`{pos}` div {chunk_rows}")
+
+
 def with_halo(
     df: DataFrame, pos: str, before: int, after: int = 0, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Add ``_chunk`` and ``_halo``; edge rows appear again for the chunk that reaches them."""
     if max(before, after) > chunk_rows:
         raise ValueError("a frame must not reach past the neighbouring chunk: raise chunk_rows")
-    chunk = F.floor(F.col(pos) / chunk_rows).cast("bigint")
+    chunk = chunk_of(pos, chunk_rows)
     local = F.pmod(F.col(pos), F.lit(chunk_rows))
 
     def seat(number: Column, halo: bool) -> Column:
@@ -48,20 +53,19 @@ def framed(
     pos: str,
     before: int,
     after: int,
-    columns: Mapping[str, Callable[[WindowSpec], Column]],
+    *stages: Mapping[str, Callable[[WindowSpec], Column]],
     within: Sequence[str] = (),
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Add window columns whose frames reach at most ``before``/``after`` rows.
+    """Add window columns that look at most ``before``/``after`` rows away.
 
-    Each function in ``columns`` takes the ordered window and returns the column. ``within``
-    names columns at whose change a frame ends, such as the second of the reading; a hot
-    second is still spread over chunks.
+    Each function in a stage takes the ordered window and returns the column. A later stage may
+    frame columns of an earlier one; ``before`` and ``after`` are then the sums of the reaches, and
+    all stages share one shuffle and one sort. ``within`` names columns at whose change a frame
+    ends, such as the second of the reading; a hot second is still spread over chunks.
     """
     w = Window.partitionBy(*keys, _CHUNK, *within).orderBy(pos)
-    return (
-        with_halo(df, pos, before, after, chunk_rows)
-        .withColumns({name: make(w) for name, make in columns.items()})
-        .filter(~F.col(_HALO))
-        .drop(_CHUNK, _HALO)
-    )
+    rows = with_halo(df, pos, before, after, chunk_rows)
+    for stage in stages:
+        rows = rows.withColumns({name: make(w) for name, make in stage.items()})
+    return rows.filter(~F.col(_HALO)).drop(_CHUNK, _HALO)

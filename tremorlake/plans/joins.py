@@ -28,15 +28,12 @@ def attach_scalar(df: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def _bytes(df: DataFrame, keep: Sequence[str]) -> int:
+def measured_bytes(df: DataFrame) -> int:
     """Size of a written table, measured: fixed-width cells plus the text they hold."""
-    flat = [f.name for f in df.schema if f.name in keep]
     text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType))]
-    extra = [
-        F.coalesce(F.sum(F.octet_length(F.col(c).cast("string"))), F.lit(0)) for c in text if c in keep
-    ]
+    extra = [F.coalesce(F.sum(F.octet_length(F.col(c).cast("string"))), F.lit(0)) for c in text]
     row = df.agg(F.count(F.lit(1)), *extra).first()
-    return row[0] * _CELL_BYTES * (len(flat) + 1) + sum(row[1:])
+    return row[0] * _CELL_BYTES * (len(df.columns) + 1) + sum(row[1:])
 
 
 def attach(
@@ -58,7 +55,7 @@ def attach(
     keys = list(keys)
     values = [c for c in stats.columns if c not in keys]
     table = write_scratch(stats, "stats")
-    size = _bytes(table, table.columns)
+    size = measured_bytes(table)
     if size <= limit:
         return df.join(F.broadcast(table), keys, how)
     if rows is None:

@@ -16,19 +16,18 @@ def top_k(
     order: Sequence[Column],
     by: Sequence[str] = (),
     rank: str | None = None,
-    spread: Sequence[str] = (),
 ) -> DataFrame:
     """The first ``k`` rows along ``order``, per ``by`` if given.
 
-    ``order`` must be total, or ties are broken arbitrarily. ``spread`` names the columns the
-    salt is taken from (default: all); a row-number filter is also applied before the shuffle
-    by Spark itself, so only ``k`` rows per group leave a map task.
+    ``order`` must be total, or ties are broken arbitrarily. Spark applies the row-number filter
+    before the shuffle too, so a map task sends ``k`` rows per group. The salt is the map task's
+    number: the first round merges the tasks of one salt, the second at most ``k`` rows per salt.
     """
     if not by:
         top = df.orderBy(*order).limit(k)
         return top if rank is None else top.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
     keys = list(by)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*(spread or df.columns)), F.lit(_SALTS)))
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
     first = Window.partitionBy(*keys, "_salt").orderBy(*order)
     last = Window.partitionBy(*keys).orderBy(*order)
     name = rank or "_rank"

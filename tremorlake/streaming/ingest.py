@@ -38,15 +38,14 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
 
     Numbers are read as text first: a quoted number read as a double would be NULL.
     """
-    m = F.from_json(F.col(value), MESSAGE)
-    rows = messages.select(F.col(value).alias("raw"), m.alias("m"))
-    numbers = [to_decimal(f"m.{a}", 38, 18).alias(a) for a in ("X", "Y", "Z")]
+    # Generating the fields keeps the parser to one call per message, whatever is asked of them.
+    rows = messages.select(F.col(value).alias("raw"), F.inline(F.array(F.from_json(F.col(value), MESSAGE))))
     rows = rows.select(
         "raw",
-        F.col("m.id").alias("device_id"),
-        F.col("m.index").alias("index"),
-        F.try_to_timestamp(F.col("m.timestamp")).alias("ts"),
-        *numbers,
+        F.col("id").alias("device_id"),
+        "index",
+        F.try_to_timestamp("timestamp").alias("ts"),
+        *[to_decimal(a, 38, 18).alias(a) for a in ("X", "Y", "Z")],
     )
     needed = [F.col(c).isNotNull() for c in ("device_id", "index", "ts", "X", "Y", "Z")]
     valid = needed[0]

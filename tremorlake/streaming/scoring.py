@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed import latest_version
 from ..operators.normalize import apply_scaler, fit_scaler
-from ..operators.smooth import lag_windows, rolling_mean
+from ..operators.smooth import smoothed_windows
 from ..operators.stats import count_gate
 from ..plans import attach, top_k, with_position, write_scratch
-from ..plans.frames import CHUNK_ROWS
+from ..plans.frames import CHUNK_ROWS, chunk_of
 
 
 def flat_loss(window: str = "window", out: str = "loss") -> Callable[[DataFrame], DataFrame]:
@@ -65,8 +65,7 @@ class Scorer:
         by = keys if self.by_device else []
         stats = self.scaler if self.scaler is not None else fit_scaler(rows, self.value, by, ddof=0)
         z = apply_scaler(rows, stats, self.value, by, "zscale", digits=None)
-        m = rolling_mean(z, "zscale", keys, self.smooth, pos=pos, out="smoothed", chunk_rows=self.chunk_rows)
-        w = lag_windows(m, "smoothed", keys, self.steps, pos=pos, chunk_rows=self.chunk_rows)
+        w = smoothed_windows(z, "zscale", keys, self.smooth, self.steps, pos, chunk_rows=self.chunk_rows)
         return self.loss(w).withColumn("label", (F.col("loss") > self.threshold).cast("int")).drop("window")
 
     def gated(self, scored: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -120,13 +119,13 @@ def incremental_scorer(
         seen = write_scratch(seen, "batch")
         late = seen.filter(F.col(index) <= F.col("_last"))
         new = seen.filter(F.col("_last").isNull() | (F.col(index) > F.col("_last")))
-        new = with_position(new, [device], [index], "pos", F.floor(F.col(index) / index_block))
+        new = with_position(new, [device], [index], "pos", chunk_of(index, index_block))
         new = new.withColumn("pos", F.col("pos") + F.coalesce("_next", F.lit(0))).drop("_last", "_next")
         both = tail.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
         scored = scorer.gated(scorer.score(both).filter("_new").drop("_new"), [device])
         scored.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         late.drop("_last", "_next").write.mode("overwrite").parquet(f"{late_out}/batch_id={batch_id}")
-        kept = top_k(both.drop("_new"), scorer.context, [F.desc("pos")], [device], spread=[index])
+        kept = top_k(both.drop("_new"), scorer.context, [F.desc("pos")], [device])
         kept.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         _delete(spark, f"{state_path}/batch_id={batch_id - 2}")
 
