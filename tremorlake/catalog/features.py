@@ -230,13 +230,15 @@ def features_linear_trend(spark, d):
 
 @query(
     "features_agg_linear_trend",
-    f"""SELECT user_id, round(regr_slope(m, part), 6) AS slope, round(regr_intercept(m, part), 6) AS intercept,
-               round(corr(m, part), 6) AS rvalue,
-               round(sqrt(greatest((1 - corr(m, part) ** 2) * var_pop(m) / var_pop(part) / (count(*) - 2), 0)), 6) AS stderr
+    f"""SELECT user_id, round(regr_slope(m, part), 9) AS slope, round(regr_intercept(m, part), 9) AS intercept,
+               round(corr(m, part), 9) AS rvalue,
+               round(sqrt(greatest((1 - corr(m, part) ** 2) * var_pop(m) / var_pop(part) / (count(*) - 2), 0)), 9) AS stderr
         FROM (SELECT user_id, pos // 10 AS part, avg(value) AS m FROM ({_SEQ}) GROUP BY ALL) GROUP BY user_id""",
 )
 def features_agg_linear_trend(spark, d):
-    return r6(spectral.agg_linear_trend(positioned(spark, d, "value"), ["user_id"], "value"))
+    # Slopes of few part means end after a few digits; nine keep them clear of rounding ties.
+    out = spectral.agg_linear_trend(positioned(spark, d, "value"), ["user_id"], "value")
+    return out.select("user_id", *[F.round(c, 9).alias(c) for c in ("slope", "intercept", "rvalue", "stderr")])
 
 
 _ANGLE = "2 * pi() * ({k} * pos % n) / n"

@@ -10,7 +10,7 @@ from ..plans.frames import chunk_of
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-INDEX_BLOCK = 65_536
+INDEX_BLOCK = 1 << 20
 
 
 def query(name: str, sql: str | None = None):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-CHUNK_ROWS = 65_536
+CHUNK_ROWS = 131_072
 _CHUNK, _HALO = "_chunk", "_halo"
 
 
@@ -37,14 +37,15 @@ def with_halo(
     def seat(number: Column, halo: bool) -> Column:
         return F.struct(number.alias(_CHUNK), F.lit(halo).alias(_HALO))
 
-    seats = [seat(chunk, False)]
-    if before:
-        seats.append(F.when(local >= chunk_rows - before, seat(chunk + 1, True)))
-    if after:
-        seats.append(F.when((local < after) & (chunk > 0), seat(chunk - 1, True)))
-    if len(seats) == 1:
+    own = seat(chunk, False)
+    if not before and not after:
         return df.withColumns({_CHUNK: chunk, _HALO: F.lit(False)})
-    return df.select("*", F.inline(F.array_compact(F.array(*seats))))
+    late, early = local >= chunk_rows - before, (local < after) & (chunk > 0)
+    following, previous = seat(chunk + 1, True), seat(chunk - 1, True)
+    # A choice between literal arrays compiles; filtering one array would be interpreted per row.
+    seats = F.when(late & early, F.array(own, following, previous)).when(late, F.array(own, following))
+    seats = seats.when(early, F.array(own, previous)).otherwise(F.array(own))
+    return df.select("*", F.inline(seats))
 
 
 def framed(

@@ -31,7 +31,7 @@ def running_total(
 
     ``order`` must be a total order within ``keys``. ``block`` is an expression that never
     decreases along ``order`` and of which each value covers a bounded number of rows of
-    one key, such as ``index div 65536`` for an index that is unique per device. Without
+    one key, such as ``index div 1048576`` for an index that is unique per device. Without
     one, the rows are range-sorted on (keys, order) and written once; a block is then a
     partition of that sort, whatever the distribution of the data.
     """

@@ -43,20 +43,27 @@ def _pick(ranked: DataFrame, by: list[str], quantiles: Mapping[str, float], line
 
 
 def _bracketed(
-    rows: DataFrame, stats: DataFrame, by: list[str], quantiles: Mapping[str, float], linear: bool
+    rows: DataFrame, by: list[str], quantiles: Mapping[str, float], linear: bool, accuracy: int
 ) -> DataFrame:
-    joined = attach(rows, stats, by, rows="_n", how="inner") if by else attach_scalar(rows, stats)
+    """Quantiles of groups of which each has more rows than ``accuracy``."""
+    # The rank error of a bracket end is at most n/accuracy; 2/accuracy leaves room for both
+    # that and the difference between q*n and q*(n-1).
+    margin = 2.0 / accuracy
+    ends = [p for q in quantiles.values() for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
+    brackets = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, accuracy).alias("_p")
+    )
+    joined = attach(rows, brackets, by, rows="_n", how="inner") if by else attach_scalar(rows, brackets)
     slots = []
     for i in range(len(quantiles)):
         lo, hi = F.get("_p", F.lit(2 * i)), F.get("_p", F.lit(2 * i + 1))
-        v = F.col("_v")
         # Rows below the bracket count as one NULL value, which sorts first.
-        slots.append(
-            F.when(v <= hi, F.struct(F.lit(i).alias("_i"), F.when(v >= lo, v).alias("_v"))).otherwise(F.lit(None))
-        )
+        inner = F.when(F.col("_v") >= lo, F.col("_v"))
+        slots.append(F.struct(F.lit(i).alias("_i"), inner.alias("_in"), (F.col("_v") <= hi).alias("_keep")))
     counted = (
-        joined.select(*by, "_n", F.inline(F.array_compact(F.array(*slots))))
-        .groupBy(*by, "_i", "_v")
+        joined.select(*by, "_n", F.inline(F.array(*slots)))
+        .filter("_keep")
+        .groupBy(*by, "_i", F.col("_in").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"))
     )
     ranked = running_total(counted, [*by, "_i"], ["_v"], F.col("_c"), "_before")
@@ -81,34 +88,28 @@ def exact_quantiles(
     if small_group < accuracy:
         raise ValueError("the bracket is only proven for groups larger than the accuracy")
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    # The rank error of a bracket end is at most n/accuracy; 2/accuracy leaves room for both
-    # that and the difference between q*n and q*(n-1).
-    margin = 2.0 / accuracy
-    ends = [p for q in quantiles.values() for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
-    stats = write_scratch(
-        rows.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx("_v", ends, accuracy).alias("_p"),
-        ),
-        "brackets",
-    )
-    large = stats.filter(F.col("_n") > small_group)
-    n_large = large.count()
+    if by:
+        counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+        large = write_scratch(counts.filter(F.col("_size") > small_group), "large-groups")
+        any_large = not large.isEmpty()
+    else:
+        any_large = rows.count() > small_group
 
     def small(part: DataFrame) -> DataFrame:
         if linear:
             exprs = [F.percentile("_v", q).alias(n) for n, q in quantiles.items()]
             return part.groupBy(*by).agg(*exprs)
         disc = [
-            F.expr(f"percentile_disc({q!r}) within group (order by _v)").alias(n)
-            for n, q in ((n, float(q)) for n, q in quantiles.items())
+            F.expr(f"percentile_disc({float(q)!r}) within group (order by _v)").alias(n)
+            for n, q in quantiles.items()
         ]
         return part.groupBy(*by).agg(*disc)
 
-    if n_large == 0:
+    if not any_large:
         return small(rows)
     if not by:
-        return _bracketed(rows, large, by, quantiles, linear)
-    many_rows = _bracketed(rows, large, by, quantiles, linear)
-    few = attach(rows, stats.select(*by, "_n"), by, rows="_n").filter(F.col("_n") <= small_group)
-    return many_rows.unionByName(small(few.drop("_n")))
+        return _bracketed(rows, by, quantiles, linear, accuracy)
+    sized = attach(rows, large, by, rows="_size")
+    hot = sized.filter(F.col("_size").isNotNull()).drop("_size")
+    cold = sized.filter(F.col("_size").isNull()).drop("_size")
+    return _bracketed(hot, by, quantiles, linear, accuracy).unionByName(small(cold))

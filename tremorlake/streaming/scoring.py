@@ -89,7 +89,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def incremental_scorer(
-    scorer: Scorer, state_path: str, output_path: str, index_block: int = CHUNK_ROWS
+    scorer: Scorer, state_path: str, output_path: str, index_block: int = 1 << 20
 ) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: score the new readings of all devices and carry their context.
 
