@@ -2,7 +2,7 @@ from .frames import framed, with_halo
 from .joins import attach, attach_scalar
 from .positions import running_total, with_position
 from .quantiles import exact_quantiles
-from .scratch import clear_scratch, write_scratch
+from .scratch import clear_scratch, scratch_scope, write_scratch
 from .topk import top_k
 
 __all__ = [
@@ -12,6 +12,7 @@ __all__ = [
     "exact_quantiles",
     "framed",
     "running_total",
+    "scratch_scope",
     "top_k",
     "with_halo",
     "with_position",

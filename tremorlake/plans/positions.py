@@ -14,9 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import BROADCAST_BYTES, measured_bytes
 from .scratch import write_scratch
 
-_BLOCK, _HEAD, _W = "_block", "_head", "_w"
+_BLOCK, _HEAD, _W, _ROW = "_block", "_head", "_w", "_row"
 
 
 def running_total(
@@ -38,12 +39,22 @@ def running_total(
     keys, order = list(keys), list(order)
     rows = df.withColumn(_W, weight)
     if block is None:
-        by = [*keys, *order]
-        rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
-        rows = write_scratch(rows.withColumn(_BLOCK, F.spark_partition_id()), "sorted")
+        rows = _sorted_blocks(rows, keys, order).drop(_ROW)
     else:
         rows = rows.withColumn(_BLOCK, block)
+    return _from_heads(rows, keys, order, out)
 
+
+def _sorted_blocks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Range-sorted rows, written with their partition and their number in the sort."""
+    by = [*keys, *order]
+    rows = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    return write_scratch(
+        rows.withColumns({_BLOCK: F.spark_partition_id(), _ROW: F.monotonically_increasing_id()}), "sorted"
+    )
+
+
+def _from_heads(rows: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
     along = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     heads = (
         rows.groupBy(*keys, _BLOCK)
@@ -73,5 +84,25 @@ def with_position(
     out: str = "pos",
     block: Column | None = None,
 ) -> DataFrame:
-    """Add the 0-based, gap-free position of each row in its series."""
-    return running_total(df, keys, order, F.lit(1).cast("bigint"), out, block)
+    """Add the 0-based, gap-free position of each row in its series. Arguments as above."""
+    one = F.lit(1).cast("bigint")
+    if block is not None:
+        return running_total(df, keys, order, one, out, block)
+    keys = list(keys)
+    rows = _sorted_blocks(df, keys, list(order))
+    # The sort has numbered the rows: a series only lacks how many rows it has in earlier blocks,
+    # one number per (series, partition).
+    along = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        rows.groupBy(*keys, _BLOCK)
+        .agg(F.count(F.lit(1)).alias("_t"), F.min(_ROW).alias("_first"))
+        .withColumn("_shift", F.coalesce(F.sum("_t").over(along), F.lit(0)) - F.col("_first"))
+        .drop("_t", "_first")
+    )
+    starts = write_scratch(starts, "starts")
+    if measured_bytes(starts) > BROADCAST_BYTES:
+        return _from_heads(rows.drop(_ROW).withColumn(_W, one), keys, list(order), out)
+    theirs = starts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, _BLOCK])], "_shift")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, _BLOCK])]
+    joined = rows.join(F.broadcast(theirs), same)
+    return joined.select(*df.columns, (F.col(_ROW) + F.col("_shift")).alias(out))

@@ -8,12 +8,16 @@ costs a re-read, never a different answer.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _LOCAL: list[str] = []
+_SCOPE = threading.local()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,7 +32,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = getattr(_SCOPE, "folder", None) or scratch_root(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
@@ -39,9 +44,29 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are deleted at the end: for a batch whose results are stored
+    by then, so that a long-running stream leaves none behind."""
+    outer = getattr(_SCOPE, "folder", None)
+    _SCOPE.folder = scratch_path(spark, "scope")
+    try:
+        yield
+    finally:
+        delete_path(spark, _SCOPE.folder)
+        _SCOPE.folder = outer
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch tables, once no plan needs them."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path, True)
+    delete_path(spark, scratch_root(spark))

@@ -8,7 +8,7 @@ Exactly these are carried per device, so batch borders change nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +17,9 @@ from ..operators.keyed import latest_version
 from ..operators.normalize import apply_scaler, fit_scaler
 from ..operators.smooth import smoothed_windows
 from ..operators.stats import count_gate
-from ..plans import attach, top_k, with_position, write_scratch
+from ..plans import attach, scratch_scope, top_k, with_position, write_scratch
 from ..plans.frames import CHUNK_ROWS, chunk_of
+from ..plans.scratch import delete_path, path_exists
 
 
 def flat_loss(window: str = "window", out: str = "loss") -> Callable[[DataFrame], DataFrame]:
@@ -78,16 +79,6 @@ def score_batch(df: DataFrame, scorer: Scorer, order: Sequence[str] | None = Non
     return scorer.gated(scorer.score(rows), [scorer.device]).drop("pos")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def incremental_scorer(
     scorer: Scorer, state_path: str, output_path: str, index_block: int = 1 << 20
 ) -> Callable[[DataFrame, int], None]:
@@ -103,31 +94,39 @@ def incremental_scorer(
     out, late_out = f"{output_path}/scored", f"{output_path}/late"
     device, index = scorer.device, scorer.index
 
+    # Stored once here rather than in every batch.
+    if scorer.scaler is not None:
+        scorer = replace(scorer, scaler=write_scratch(scorer.scaler, "scaler"))
+
     def process(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            score(batch, batch_id)
+
+    def score(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = f"{state_path}/batch_id={batch_id - 1}"
         rest = [c for c in batch.columns if c not in (device, index)]
         fresh = latest_version(batch, [device, index], rest)
-        if _exists(spark, before):
+        if path_exists(spark, before):
             tail = spark.read.schema(_fields_with_position(batch)).parquet(before)
         else:
             tail = spark.createDataFrame([], _fields_with_position(batch))
         marks = tail.groupBy(device).agg(
             F.max(index).alias("_last"), (F.max("pos") + 1).alias("_next"), F.count(F.lit(1)).alias("_n")
         )
-        seen = attach(fresh, marks, [device], rows="_n").drop("_n")
-        seen = write_scratch(seen, "batch")
+        seen = write_scratch(attach(fresh, marks, [device], rows="_n").drop("_n"), "batch")
         late = seen.filter(F.col(index) <= F.col("_last"))
         new = seen.filter(F.col("_last").isNull() | (F.col(index) > F.col("_last")))
         new = with_position(new, [device], [index], "pos", chunk_of(index, index_block))
         new = new.withColumn("pos", F.col("pos") + F.coalesce("_next", F.lit(0))).drop("_last", "_next")
         both = tail.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+        both = write_scratch(both, "context")
         scored = scorer.gated(scorer.score(both).filter("_new").drop("_new"), [device])
         scored.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         late.drop("_last", "_next").write.mode("overwrite").parquet(f"{late_out}/batch_id={batch_id}")
         kept = top_k(both.drop("_new"), scorer.context, [F.desc("pos")], [device])
         kept.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
-        _delete(spark, f"{state_path}/batch_id={batch_id - 2}")
+        delete_path(spark, f"{state_path}/batch_id={batch_id - 2}")
 
     return process
 
