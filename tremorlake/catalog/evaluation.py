@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..jobs import evaluate_sigma
 from ..operators import evaluate
 from ..operators.sigma import sigma_distance
 from .registry import events, query, table
@@ -73,3 +74,21 @@ def compare_detectors(spark, d):
 )
 def unmatched_labels(spark, d):
     return evaluate.unmatched(table(spark, d, "documents"), table(spark, d, "labels"), ["doc_id"])
+
+
+@query(
+    "sigma_evaluation",
+    f"""WITH z AS (SELECT event_id, user_id, date_trunc('second', ts) AS s, CAST(event_type = 'error' AS INTEGER) AS a,
+                   round((value - avg(value) OVER w) / stddev_samp(value) OVER w, 6) AS z FROM events
+                   WINDOW w AS (PARTITION BY user_id)),
+        o AS (SELECT *, (z - avg(z) OVER w) / stddev_samp(z) OVER w AS dist FROM z WINDOW w AS (PARTITION BY user_id)),
+        e AS (SELECT DISTINCT user_id, s FROM o WHERE dist > 2 OR dist < -2)
+        SELECT *, {_QUALITY} FROM (SELECT {_CELLS} FROM (
+          SELECT a, CAST(e.s IS NOT NULL AS INTEGER) AS p FROM o LEFT JOIN e ON e.user_id = o.user_id AND e.s = o.s))""",
+)
+def sigma_evaluation(spark, d):
+    """The whole evaluation run: normalise, outliers, episodes per second, labels, F1."""
+    df = events(spark, d).select("event_id", F.col("user_id").alias("device_id"), "ts", "value", "event_type")
+    truth = df.select("event_id", (F.col("event_type") == "error").cast("int").alias("anomaly"))
+    out = evaluate_sigma(df.drop("event_type"), truth, ["event_id"], k=2.0, min_count=0)
+    return out.select("tn", "fp", "fn", "tp", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])

@@ -212,9 +212,27 @@ def features_autocorrelation(spark, d):
     return r6(spectral.autocorrelation(positioned(spark, d, "value"), ["user_id"], "value"))
 
 
-@query("features_correlation_summary")
+_ACF = ", ".join(
+    f"sum((value - m) * (lag_{k} - m)) / ((any_value(n) - {k}) * any_value(sd) * any_value(sd)) AS r{k}" for k in range(1, 7)
+)
+_LAGGED = ", ".join(f"lag(value, {k}) OVER (PARTITION BY user_id ORDER BY pos) AS lag_{k}" for k in range(1, 7))
+_ALL = "[r1, r2, r3, r4, r5, r6]"
+
+
+@query(
+    "features_correlation_summary",
+    f"""SELECT user_id, round(list_avg({_ALL}), 6) AS mean_acf, round(list_median({_ALL}), 6) AS median_acf,
+               round(list_var_pop({_ALL}), 6) AS var_acf, round(r1, 6) AS pacf_1,
+               round((r2 - r1 * r1) / (1 - r1 * r1), 6) AS pacf_2
+        FROM (SELECT user_id, {_ACF} FROM (SELECT *, {_LAGGED} FROM ({_SEQ})) GROUP BY user_id)""",
+)
 def features_correlation_summary(spark, d):
-    return spectral.correlation_summary(positioned(spark, d, "value"), ["user_id"], "value", 6)
+    out = spectral.correlation_summary(positioned(spark, d, "value"), ["user_id"], "value", 6)
+    return out.select(
+        "user_id",
+        *[F.round(f"agg_autocorrelation_{c}", 6).alias(f"{c}_acf") for c in ("mean", "median", "var")],
+        *[F.round(F.get("partial_autocorrelation", F.lit(i)), 6).alias(f"pacf_{i + 1}") for i in (0, 1)],
+    )
 
 
 @query(

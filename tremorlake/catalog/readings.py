@@ -40,6 +40,13 @@ def time_range_filter(spark, d):
     return df.select("event_id", "user_id", "value")
 
 
+@query("projection_alias", "SELECT event_id AS index, user_id AS device_id, -value AS z FROM events")
+def projection_alias(spark, d):
+    return events(spark, d).select(
+        F.col("event_id").alias("index"), F.col("user_id").alias("device_id"), (-F.col("value")).alias("z")
+    )
+
+
 @query("value_band", "SELECT event_id, value FROM events WHERE value > 20 AND value < 60.5")
 def value_band(spark, d):
     return clean.value_band(events(spark, d).select("event_id", "value"), "value", 20.0, 60.5)

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..operators import keyed, stats
 from ..operators.clean import time_range
+from ..plans import attach_scalar
+from ..plans.scratch import scratch_path
 from .registry import events, query, table
 
 
@@ -135,9 +137,15 @@ def price_threshold_p95(spark, d):
     return out.select(F.round("threshold", 4).alias("threshold"))
 
 
-@query("approx_threshold_p95")
+@query("approx_threshold_p95", "SELECT count(*) AS n_rows, true AS within_bound FROM lineitem")
 def approx_threshold_p95(spark, d):
-    return stats.approx_percentile_threshold(table(spark, d, "lineitem"), "l_extendedprice")
+    """The one-pass threshold, and whether its rank is as close as promised."""
+    df = table(spark, d, "lineitem").select("l_extendedprice")
+    joined = attach_scalar(df, stats.approx_percentile_threshold(df, "l_extendedprice"))
+    below = F.count_if(F.col("l_extendedprice") < F.col("threshold"))
+    upto = F.count_if(F.col("l_extendedprice") <= F.col("threshold"))
+    n = F.count(F.lit(1))
+    return joined.agg(n.alias("n_rows"), ((below <= 0.9501 * n) & (upto >= 0.9499 * n)).alias("within_bound"))
 
 
 @query(
@@ -176,6 +184,36 @@ def upsert_latest(spark, d):
     return keyed.upsert(base, updates, ["user_id", "day"], ["event_id"])
 
 
+@query(
+    "upsert_partitions",
+    """SELECT event_type, event_id, CASE WHEN value > 100 THEN value * 2 ELSE value END AS value,
+              CASE WHEN value > 100 THEN 2 ELSE 1 END AS version FROM events""",
+)
+def upsert_partitions(spark, d):
+    """A stored table, partitioned by event type, with the large values written again."""
+    path = scratch_path(spark, "table")
+    df = events(spark, d).select("event_type", "event_id", "value", F.lit(1).alias("version"))
+    df.write.partitionBy("event_type").parquet(path)
+    again = df.filter("value > 100").withColumns({"value": F.col("value") * 2, "version": F.lit(2)})
+    keyed.upsert_partitions(spark, path, again, ["event_type", "event_id"], ["version"], "event_type")
+    return spark.read.parquet(path).select("event_type", "event_id", "value", "version")
+
+
+@query(
+    "keyed_log",
+    """SELECT user_id, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id""",
+)
+def keyed_log(spark, d):
+    """Two batches appended by key, the second written twice, and read as the current state."""
+    path = scratch_path(spark, "log")
+    df = events(spark, d).select("user_id", "event_id", "value", "ts")
+    early = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for batch, part in ((0, df.filter(early)), (1, df.filter(~early)), (1, df.filter(~early))):
+        keyed.append_batch(part.drop("ts"), path, batch)
+    state = keyed.read_keyed(spark, path, ["user_id"], ["batch_id", "event_id"])
+    return state.select("user_id", "event_id", "value")
+
+
 @query(
     "latest_n",
     """SELECT user_id, event_id, value FROM (

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from ..operators.normalize import apply_scaler, fit_scaler, znorm
-from ..operators.smooth import lag_windows, moving_average, rolling_mean
+from ..operators.smooth import lag_windows, moving_average, rolling_mean, smoothed_windows
 from ..plans import with_position
+from ..plans.scratch import scratch_path
+from ..sources.series import read_series, write_series
 from .registry import event_block, events, query, table, with_day
 
 
@@ -109,6 +111,48 @@ def rolling_mean_partial(spark, d):
     return out.select("event_id", "user_id", F.round("rolling_mean", 6).alias("rolling_mean"))
 
 
+@query(
+    "rolling_mean_halo",
+    """SELECT event_id, user_id, CASE WHEN count(value) OVER w >= 4 THEN round(avg(value) OVER w, 6) END AS rolling_mean
+       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""",
+)
+def rolling_mean_halo(spark, d):
+    """Chunks of eight rows, so that every series here is cut and relies on its halo rows."""
+    out = rolling_mean(positioned(spark, d, "value"), "value", ["user_id"], 4, chunk_rows=8)
+    return out.select("event_id", "user_id", F.round("rolling_mean", 6).alias("rolling_mean"))
+
+
+@query(
+    "smoothed_windows",
+    """WITH m AS (SELECT event_id, user_id, value, CASE WHEN count(*) OVER w >= 3 THEN avg(value) OVER w END AS m FROM events
+          WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+       SELECT event_id, user_id, round(w0, 6) AS w0, round(w4, 6) AS w4 FROM (
+         SELECT event_id, user_id, lag(m, 5) OVER v AS w0, lag(m, 1) OVER v AS w4 FROM m
+         WINDOW v AS (PARTITION BY user_id ORDER BY event_id)) WHERE w0 IS NOT NULL""",
+)
+def smoothed_lag_windows(spark, d):
+    out = smoothed_windows(positioned(spark, d, "value"), "value", ["user_id"], 3, 5, chunk_rows=16)
+    return out.select(
+        "event_id",
+        "user_id",
+        F.round(F.get("window", F.lit(0)), 6).alias("w0"),
+        F.round(F.get("window", F.lit(4)), 6).alias("w4"),
+    )
+
+
+@query(
+    "stored_series",
+    """SELECT event_id, user_id, pos FROM (
+         SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos FROM events)
+       WHERE pos BETWEEN 10 AND 36""",
+)
+def stored_series(spark, d):
+    """Series written once in their order, then a page of each by position."""
+    path = scratch_path(spark, "series")
+    write_series(events(spark, d).select("event_id", "user_id", "value"), path, ["user_id"], ["event_id"], block=event_block())
+    return read_series(spark, path).filter(F.col("pos").between(10, 36)).select("event_id", "user_id", "pos")
+
+
 @query(
     "rolling_mean_lineitem",
     f"""SELECT {_LINE_KEY}, CASE WHEN count(*) OVER w >= 3 THEN round(avg(l_extendedprice) OVER w, 4) END AS rolling_mean

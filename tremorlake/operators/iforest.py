@@ -115,7 +115,7 @@ def fit_forest(
         drawn.select("tree", "_r", features).groupBy("tree").applyInPandas(grow, _NODE), "forest"
     )
     psi = min(sample_rows, nodes.agg(F.max("size")).first()[0] or 1)
-    scored = score_forest(rows, nodes, features, psi)
+    scored = write_scratch(score_forest(rows, nodes, features, psi).select("score"), "scores")
     cut = exact_quantiles(scored, "score", {"cut": 1.0 - contamination}, linear=False).first()
     return Forest(nodes, float(cut["cut"]), psi)
 
