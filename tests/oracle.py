@@ -24,6 +24,19 @@ def connect(sf_dir: str):
     return con
 
 
+KINDS = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 def cell(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return ""
@@ -46,6 +59,11 @@ def compare(spark, name, fn, sql, sf_dir, con) -> str | None:
     want_cols = [c[0] for c in rel.description]
     if sorted(df.columns) != sorted(want_cols):
         return f"columns {sorted(df.columns)} != {sorted(want_cols)}"
+    want_kinds = {c[0]: str(c[1]) for c in con.execute(f"DESCRIBE {sql}").fetchall()}
+    kinds = {c: (KINDS.get(t, t), want_kinds[c]) for c, t in df.dtypes if KINDS.get(t, t) != want_kinds[c]}
+    if kinds:
+        return f"types {kinds}"
+    rel = con.execute(sql)
     got = canonical(df.columns, [tuple(r) for r in df.collect()])
     want = canonical(want_cols, rel.fetchall())
     if len(got) != len(want):

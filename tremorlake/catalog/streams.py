@@ -1,5 +1,6 @@
 """Streaming queries over the events table as a file stream, run until the data is used up."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators.keyed import read_keyed
@@ -8,6 +9,7 @@ from ..plans.scratch import scratch_path
 from ..streaming.episodes import anomaly_counts, anomaly_sessions
 from ..streaming.ingest import accepted, decode, deduplicated, keyed_sink, start
 from ..streaming.scoring import incremental_scorer, read_scored
+from ..streaming.stateful import ROCKSDB, score_ordered
 from .detection import SCORES_SQL, event_scorer
 from .readings import messages
 from .registry import events, query
@@ -117,3 +119,30 @@ def stream_scores(spark, d):
     start(rows, incremental_scorer(event_scorer(spark, d), state, out), ck).awaitTermination()
     got = read_scored(spark, out)
     return got.select("event_id", "user_id", F.round("loss", 6).alias("loss"), "label")
+
+
+class MeanReconstructor:
+    """A window rebuilt from its own mean, as in ``flat_loss``."""
+
+    def reconstruct(self, x):
+        return np.repeat(x.mean(axis=1, keepdims=True), x.shape[1], axis=1)
+
+
+@query(
+    "stream_scores_stateful",
+    f"""SELECT s.* FROM ({SCORES_SQL}) s JOIN events e ON e.event_id = s.event_id
+        WHERE epoch_ms(e.ts) <= (SELECT max(epoch_ms(ts)) - 86400000 FROM events)""",
+)
+def stream_scores_stateful(spark, d):
+    """The same scores from keyed state: readings are held until the watermark has passed them."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        rows = event_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+        z = apply_scaler(rows, fit_scaler(events(spark, d), "value"), "value", out="z", digits=None)
+        scored = score_ordered(z, MeanReconstructor(), "user_id", "event_id", "ts", "z", "1 day", threshold=0.5)
+        out = run_to_table(spark, scored, "stateful")
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+    return out.select(F.col("index").alias("event_id"), "user_id", F.round("loss", 6).alias("loss"), "label")

@@ -5,11 +5,11 @@ from .scalar import (
     iso_seconds_text,
     label_above,
     label_outside,
-    lift_value,
     parse_seconds,
     precision_expr,
     recall_expr,
     round_to,
+    signed_axis,
     time_bucket,
     to_decimal,
     vector_element,
@@ -23,11 +23,11 @@ __all__ = [
     "iso_seconds_text",
     "label_above",
     "label_outside",
-    "lift_value",
     "parse_seconds",
     "precision_expr",
     "recall_expr",
     "round_to",
+    "signed_axis",
     "time_bucket",
     "to_decimal",
     "vector_element",

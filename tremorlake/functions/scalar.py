@@ -66,7 +66,7 @@ def vector_element(vec: Column | str, i: int = 0, dtype: str = "float64") -> Col
     return F.get(vector_to_array(_col(vec), dtype), F.lit(i))
 
 
-def lift_value(axis: Column, sign: Column, x: Column, y: Column, z: Column) -> Column:
+def signed_axis(axis: Column, sign: Column, x: Column, y: Column, z: Column) -> Column:
     """Signed reading of the axis a device moves along; NULL without a mapping."""
     return sign * F.when(axis == "X", x).when(axis == "Y", y).when(axis == "Z", z)
 

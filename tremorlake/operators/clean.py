@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import int_bucket, lift_value, round_to
+from ..functions import int_bucket, signed_axis, round_to
 from ..plans import attach, attach_scalar
 
 # The axis along which each device travels, and its direction.
@@ -76,7 +76,7 @@ def canonical_axis(
         F.lit(1).alias("_n"),
     )
     joined = attach(df, lookup, [device], rows="_n")
-    return joined.withColumn(out, lift_value(F.col("_axis"), F.col("_sign"), x, y, z)).drop(
+    return joined.withColumn(out, signed_axis(F.col("_axis"), F.col("_sign"), x, y, z)).drop(
         "_axis", "_sign", "_n"
     )
 

@@ -19,28 +19,25 @@ def in_slices(
 ) -> DataFrame:
     """Rows with start <= ts <= end for some slice (of the same device); each row once.
 
-    ``slices`` has ``slice_start`` and ``slice_end`` (and ``device``). A list that measures under
-    ``limit`` is broadcast. A longer one is cut at bucket borders, and both sides meet on the
-    bucket.
+    ``slices`` has ``slice_start`` and ``slice_end`` (and ``device``). Slices are cut at bucket
+    borders, so both sides meet on the bucket number instead of comparing every pair. The cut
+    slices are broadcast if they measure under ``limit``.
     """
     kind = df.schema[ts].dataType
+
+    def number(c):
+        return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bucket_seconds)
+
     cut = slices.select(
         *([F.col(device).alias("_dev")] if device else []),
         F.col("slice_start").cast(kind).alias("_from"),
         F.col("slice_end").cast(kind).alias("_to"),
-    )
+    ).filter(F.col("_from") <= F.col("_to"))
+    cut = cut.select("*", F.explode(F.sequence(number("_from"), number("_to"))).alias("_sb"))
     cut = write_scratch(cut, "slices")
-    match = F.col(ts).between(F.col("_from"), F.col("_to"))
+    match = (F.col("_b") == F.col("_sb")) & F.col(ts).between(F.col("_from"), F.col("_to"))
     if device:
         match = match & (F.col(device) == F.col("_dev"))
     if measured_bytes(cut) <= limit:
-        return df.join(F.broadcast(cut), match, "left_semi")
-
-    def number(c):
-        return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bucket_seconds)
-
-    buckets = cut.select("*", F.explode(F.sequence(number("_from"), number("_to"))).alias("_sb"))
-    joined = df.withColumn("_b", number(ts)).join(
-        buckets, match & (F.col("_b") == F.col("_sb")), "left_semi"
-    )
-    return joined.drop("_b")
+        cut = F.broadcast(cut)
+    return df.withColumn("_b", number(ts)).join(cut, match, "left_semi").drop("_b")

@@ -40,7 +40,7 @@ def attach(
     df: DataFrame,
     stats: DataFrame,
     keys: Sequence[str],
-    rows: str | None = None,
+    rows: str,
     how: str = "left",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -58,8 +58,6 @@ def attach(
     size = measured_bytes(table)
     if size <= limit:
         return df.join(F.broadcast(table), keys, how)
-    if rows is None:
-        return df.join(table, keys, how)
 
     per_row = max(size // max(table.count(), 1), 1)
     hot = write_scratch(table.orderBy(F.desc(rows), *keys).limit(max(limit // per_row, 1)), "hot")

@@ -25,7 +25,7 @@ def top_k(
     """
     if not by:
         top = df.orderBy(*order).limit(k)
-        return top if rank is None else top.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
+        return top if rank is None else top.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     keys = list(by)
     salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
     first = Window.partitionBy(*keys, "_salt").orderBy(*order)
@@ -35,7 +35,7 @@ def top_k(
         salted.withColumn("_r", F.row_number().over(first))
         .filter(F.col("_r") <= k)
         .drop("_r", "_salt")
-        .withColumn(name, F.row_number().over(last))
+        .withColumn(name, F.row_number().over(last).cast("bigint"))
         .filter(F.col(name) <= k)
     )
     return out if rank else out.drop(name)
