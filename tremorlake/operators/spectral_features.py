@@ -210,7 +210,14 @@ def _embedded(x: np.ndarray, m: int) -> np.ndarray:
 
 def _near(w: np.ndarray, tolerance: float) -> np.ndarray:
     """Per window, how many windows (itself included) are within the tolerance everywhere."""
-    return np.array([(np.abs(w - row).max(axis=1) <= tolerance).sum() for row in w])
+    step = max(1, 1_000_000 // max(len(w), 1))
+    counts = np.zeros(len(w), dtype=int)
+    for at in range(0, len(w), step):
+        near = np.ones((len(w[at : at + step]), len(w)), dtype=bool)
+        for column in w.T:
+            near &= np.abs(column[at : at + step, None] - column[None, :]) <= tolerance
+        counts[at : at + step] = near.sum(axis=1)
+    return counts
 
 
 def _approximate_entropy(x: np.ndarray, m: int, r: float) -> float:
