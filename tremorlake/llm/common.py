@@ -12,7 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 #: ASCII characters that are neither digit nor letter, as they separate words in some operators.
-SEPARATORS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -44,9 +44,9 @@ def fold_of(column: str, folds: int) -> Column:
 
 def ascii_words(text: Column) -> Column:
     """Words of ASCII digits, letters lower-cased A-Z, and any characters beyond ASCII."""
-    upper, lower = string.ascii_uppercase, string.ascii_lowercase
-    plain = F.translate(text, upper + SEPARATORS, lower + " " * len(SEPARATORS))
-    return F.array_remove(F.split(plain, " "), "")
+    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    plain = F.trim(F.regexp_replace(lower, SEPARATORS, " "))
+    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
 
 
 def count_words(text: Column) -> Column:
