@@ -132,11 +132,12 @@ def _aligned(words: DataFrame, met: DataFrame, items: DataFrame, marks: DataFram
     """Rows (_key, _h, _item, _places): positions of document words that an item covers at one shift."""
     met = met.withColumnsRenamed({"_key": "_mk", "_h": "_mh"})
     here = words.join(sized(met), words["_key"].eqNullSafe(met["_mk"]) & (words["_h"] == met["_mh"]), "left_semi")
-    here = write_scratch(here.dropDuplicates(["_key", "_h"]), "candidates")
-    hashed = _hashed(here)
-    grams = hashed.withColumn("_grams", gram_hashes(F.col("_w"), K)).select("_key", "_h", F.posexplode("_grams").alias("p", "g"))
+    # Written with the word hashes: inside the lambdas below they must be a stored column, or the optimizer
+    # folds their computation into every element.
+    here = write_scratch(_hashed(here.dropDuplicates(["_key", "_h"])), "candidates")
+    grams = here.withColumn("_grams", gram_hashes(F.col("_w"), K)).select("_key", "_h", F.posexplode("_grams").alias("p", "g"))
     for length in lengths:
-        short = hashed.withColumn("_grams", gram_hashes(F.col("_w"), length))
+        short = here.withColumn("_grams", gram_hashes(F.col("_w"), length))
         grams = grams.unionByName(short.select("_key", "_h", F.posexplode("_grams").alias("p", "g")))
     shifts = grams.join(sized(marks), "g").select("_key", "_h", "_item", (F.col("p") - F.col("q")).alias("_shift")).distinct()
     shifts = write_scratch(shifts, "shifts")
