@@ -106,6 +106,9 @@ class Toxicity:
     prior: float = 0.0
 
     def counts(self, text: Column) -> Column:
+        """Array: windows of the text, then windows by gain."""
+        if not self.weights and not self.toxic:
+            return F.array().cast("array<int>")
         toxic, ordinary = self.toxic, self.ordinary
 
         @F.pandas_udf("array<int>")
@@ -118,7 +121,7 @@ class Toxicity:
 
     def score(self, counts: Column) -> Column:
         if not self.weights:
-            return F.lit(self.prior)
+            return F.lit(self.prior)  # no counts are made then
         total = F.lit(self.weights[0])
         for weight, value in zip(self.weights[1:], _features([F.get(counts, F.lit(i)) for i in range(len(GAINS) + 1)], F)):
             total = total + F.lit(weight) * value
@@ -216,7 +219,7 @@ def score_toxicity(docs: DataFrame, model: Toxicity, text: str = "text", key: st
     Null text counts as empty and gets the score of a text without windows. Columns of ``docs`` named
     score or predicted are replaced; repeated rows get equal scores.
     """
-    counted = docs.withColumn("_counts", model.counts(F.col(text)) if model.weights else F.lit(None))
+    counted = docs.withColumn("_counts", model.counts(F.col(text)))
     scored = counted.withColumn("score", model.score(F.col("_counts")).cast("double")).drop("_counts")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
