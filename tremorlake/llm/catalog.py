@@ -1,6 +1,6 @@
 """All corpus queries, next to the SQL they are compared with."""
 
 from .common import ORACLE, QUERIES
-from . import decontaminate, exact_dedup, language_id, mixture, near_dedup, toxicity  # noqa: F401,E402
+from . import class_lm, decontaminate, exact_dedup, language_id, mixture, near_dedup, toxicity  # noqa: F401,E402
 
 __all__ = ["ORACLE", "QUERIES"]
