@@ -33,6 +33,7 @@ from .common import query, table
 
 WORDS = 5
 BUCKETS, ROWS = 192, 4
+BANDS = BUCKETS // ROWS
 SMALL = 32
 CENTRES = 3
 MANTISSA = 10
@@ -117,6 +118,10 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"_id": part["_id"], "set": [shingle_set(t).view(np.int64) for t in part["_text"]]})
 
 
+def _band(regs: Column, i: Column) -> Column:
+    return F.substring(regs, i * (2 * ROWS) + 1, F.lit(2 * ROWS))
+
+
 def _slack(n: Column) -> Column:
     """Most bits in which sketches of linked sets differ: expectation and six deviations."""
     minima = BUCKETS * (1 - F.exp(-n / F.lit(float(BUCKETS))))
@@ -207,10 +212,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     nodes = filled.groupBy("fp").agg(F.min("_id").alias("id"), F.first(F.struct(*marks)).alias("_s"))
     nodes = write_scratch(nodes.select("fp", "id", "_s.*"), "nodes")
 
-    bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BUCKETS // ROWS - 1)),
-        lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * (2 * ROWS) + 1, F.lit(2 * ROWS))),
-    )
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, _band(F.col("regs"), i)))
     small = F.coalesce("small", F.array().cast("array<bigint>"))
     keyed = nodes.filter(F.col("id").isNotNull()).select("id", F.explode(F.concat(bands, small)).alias("band"))
     shared = _shared(keyed)
@@ -226,7 +228,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         F.count(F.lit(1)).alias("_c"), F.min("id").alias("id")
     )
     own = own.filter("_c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("_own"))
-    live = nodes.select("id", "n", "s0", "s1", "s2").join(wanted, "id").join(own, "id", "left")
+    live = nodes.select("id", "n", "regs", "s0", "s1", "s2").join(wanted, "id").join(own, "id", "left")
     live = live.withColumn("m", F.col("n") - F.coalesce("_own", F.lit(0))).filter("4 * m >= 3 * n").drop("_own")
     live = write_scratch(live, "live")
     # Centres: the smallest id of a band; of several, those that share the most bands.
@@ -244,7 +246,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     named = write_scratch(named.join(sizes, "comp"), "named")
     spread = close.join(named, "id")
     apart = spread.groupBy("band").agg((F.min("comp") != F.max("comp")).alias("_apart")).filter("_apart").select("band")
-    spread = write_scratch(spread.join(apart, "band"), "spread")
+    # The number of the band; keys of small sets come after all bands.
+    number = F.array_position(bands, F.col("band")).cast("int") - 1
+    number = F.when(number < 0, F.lit(BANDS)).otherwise(number)
+    spread = write_scratch(spread.join(apart, "band").withColumn("i", number), "spread")
     left, right = (spread.select("band", *[F.col(c).alias(f"{c}_{x}") for c in spread.columns if c != "band"]) for x in "ab")
     differ = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(1, 3)), start=F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
     possible = (
@@ -252,6 +257,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
         & (7 * F.least("m_a", "m_b") >= 3 * (F.col("n_a") + F.col("n_b")))
         & (differ <= _slack(F.least("n_a", "n_b")))
+        # A pair comes from the first band that it shares.
+        & ((F.col("i_a") == 0) | ~F.exists(F.sequence(F.lit(0), F.col("i_a") - 1), lambda j: _band(F.col("regs_a"), j) == _band(F.col("regs_b"), j)))
     )
     rest = left.join(right, (left["band"] == right["band"]) & possible)
     rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
