@@ -27,6 +27,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans import write_scratch
 from .common import query, table
@@ -128,7 +129,7 @@ def _slack(n: Column) -> Column:
     return F.lit(BUCKETS) * (0.125 + 6 * F.sqrt(0.125 * 0.875 / minima))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def estimate(a: pd.Series, b: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
     """Estimated Jaccard similarity: the share of equal registers, corrected for collisions."""
     if not len(a):
