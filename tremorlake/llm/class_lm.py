@@ -36,7 +36,7 @@ UNITS = 4_096
 BUNDLES = 1_024
 CLASSES = 64
 ROUNDS = 14
-KNOWN = 200_000
+KNOWN = 120_000
 FOLDS = 10
 ADD = 0.1
 _FLUSH = 300_000
