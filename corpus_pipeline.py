@@ -16,7 +16,8 @@ from tremorlake.llm.exact_dedup import drop_copies
 from tremorlake.llm.mixture import fair_mixture
 from tremorlake.llm.near_dedup import near_duplicates
 from tremorlake.llm.toxicity import fit_toxicity
-from tremorlake.plans import write_scratch
+from tremorlake.plans import scratch_scope
+from tremorlake.plans.scratch import scratch_path
 
 
 def _by_key(docs: DataFrame, decided: DataFrame, how: str) -> DataFrame:
@@ -68,5 +69,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = write_scratch(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_scope(spark):  # what the stage wrote for itself goes with it
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
