@@ -151,7 +151,7 @@ def test_segments_cover_every_row(series):
     got = spectral.segment_features(df, ["k"], "v", segment_rows=16)
     assert got.agg(F.sum("n_rows")).first()[0] == sum(map(len, parts.values()))
     assert got.filter("k = 1").count() == 3
-    one = spectral.segment_features(df, ["k"], "v").toPandas().set_index("k")
+    one = spectral.segment_features(df, ["k"], "v", segment_rows=4096).toPandas().set_index("k")
     y = abs(np.fft.rfft(parts[1]))
     assert np.isclose(one.loc[1, "fft_centroid"], (np.arange(len(y)) * y).sum() / y.sum())
     x, m, r = parts[1], 2, 0.5 * parts[1].std()
@@ -168,3 +168,16 @@ def test_single_row_series_energy_is_the_square(spark):
     df = spark.createDataFrame([(1, 3.0), (2, -2.0)], "k int, v double")
     got = {r["k"]: r["abs_energy"] for r in free.moment_features(df, ["k"], "v").collect()}
     assert got == {1: 9.0, 2: 4.0}
+
+
+def test_no_series_is_lost(spark):
+    rows = [(k, float(v), i) for k in (None, 1) for i, v in enumerate([1, 3, 1, 4, 1, 5, 1, 2, 6])] + [(2, None, i) for i in range(3)]
+    df = spark.createDataFrame(rows, "k int, v double, pos bigint")
+    got = free.series_features(df, ["k"], "v").toPandas()
+    assert len(got) == 3
+    same = got[got["k"] != 2].drop(columns="k")
+    assert np.allclose(same.iloc[0].astype(float).fillna(-1), same.iloc[1].astype(float).fillna(-1))
+    got = ordered.ordered_features(df, ["k"], "v").toPandas()
+    assert len(got) == 3
+    same = got[got["k"] != 2].drop(columns="k")
+    assert np.allclose(same.iloc[0].astype(float).fillna(-1), same.iloc[1].astype(float).fillna(-1))

@@ -61,3 +61,10 @@ def test_live_scores_equal_batch_scores(spark, tmp_path):
         return sorted((r["device_id"], r["index"], round(r["loss"], 6), r["label"]) for r in df.collect())
 
     assert plain(read_scored(spark, out)) == plain(score_batch(signed, scorer))
+
+
+def test_one_sided_time_bounds(spark, tmp_path):
+    (tmp_path / "EDS_1.csv").write_text("".join(f"2018-07-{d:02d} 12:00:00,1,2,3\n" for d in (9, 10, 11)))
+    load = lambda **k: jobs.load_signal(spark, str(tmp_path / "EDS_1.csv"), r"EDS_(\d+)", **k).count()
+    assert load() == 3
+    assert load(start_time="2018-07-10 12:00:00") == 2 and load(end_time="2018-07-09 12:00:00") == 1

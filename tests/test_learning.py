@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.operators.autoencoder import DenseAutoencoder, LstmAutoencoder, train
 from tremorlake.operators.iforest import (
-    draw_pool,
+    draw_samples,
     fit_forest,
     grow_tree,
     load_forest,
@@ -59,11 +59,12 @@ def test_forest_is_the_same_on_any_partitioning(planted):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
-def test_pool_is_bounded(spark):
-    df = spark.range(5000).withColumn("x", F.array(F.col("id").cast("double")))
-    for want, rows in ((300, 300), (5000, 9000)):
-        pool, size = draw_pool(df, ["id"], rows, 1)
-        assert pool.count() == size == want
+@pytest.mark.parametrize("n", [40, 5_000, 60_000])
+def test_every_tree_draws_from_all_rows(spark, n):
+    df = spark.range(n).withColumn("x", F.array(F.col("id").cast("double")))
+    got = draw_samples(df, ["id"], 20, 64, 1).toPandas()
+    assert (got.groupby("tree").size() == min(n, 64)).all() and got["tree"].nunique() == 20
+    assert got["id"].nunique() > 0.9 * min(n, 20 * 64) * (0.9 if n != 5_000 else 0.85)
 
 
 def test_tree_of_equal_rows_is_a_leaf():

@@ -238,3 +238,23 @@ def test_results_do_not_depend_on_partitioning(spark, sf_dir, rows):
         lambda x: stats.extremes(x, "value", 5, ["event_id"], by=["user_id"], rank="r"),
     ):
         assert rows(op(df)) == rows(op(again))
+
+
+def test_axis_map_with_two_entries_is_refused(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0, 3.0)], "device_id int, X double, Y double, Z double")
+    twice = spark.createDataFrame([(1, "X", 1), (1, "Y", 1)], "device_id int, axis string, sign int")
+    with pytest.raises(ValueError, match="several entries"):
+        clean.canonical_axis(df, twice)
+
+
+def test_episodes_without_a_count_column(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a")], "k int, bucket string")
+    flagged = spark.createDataFrame([(1, "a"), (None, "a")], "k int, bucket string")
+    got = sigma.label_episodes(df, flagged, "bucket", ["k"]).collect()
+    assert {(r["k"], r["bucket"]): r["anomaly"] for r in got} == {(1, "a"): 1, (1, "b"): 0, (None, "a"): 1}
+
+
+def test_null_truth_is_an_error(spark):
+    df = spark.createDataFrame([(1, 1), (None, 0)], "a int, p int")
+    with pytest.raises(Exception, match="must not be NULL"):
+        evaluate.confusion(df, "a", "p").collect()

@@ -84,8 +84,26 @@ def test_halo_repeats_only_edges(spark):
     got = with_halo(df, "pos", 2, 1, chunk_rows=10)
     assert got.filter("not _halo").count() == 100
     assert got.filter("_halo").count() == 10 * 2 + 9 * 1
-    with pytest.raises(ValueError):
-        with_halo(df, "pos", 11, 0, chunk_rows=10)
+    # A frame over several chunks: every chunk that it reaches gets the row.
+    got = with_halo(df, "pos", 25, 0, chunk_rows=10)
+    assert got.filter("not _halo").count() == 100
+    reached = got.filter("pos = 7").select("_chunk").toPandas()["_chunk"]
+    assert sorted(reached) == [0, 1, 2, 3]
+
+
+def test_attach_is_the_same_either_way(spark):
+    rows = [(None, i, 5.0) for i in range(50)] + [(1, i, 5.0) for i in range(500)] + [(2, i, float(i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "k int, i int, v double").select("i", "k", "v")
+    stats = df.groupBy("k").agg(F.avg("v").alias("m"), F.count("*").alias("n"))
+    small, large = (attach(df, stats, ["k"], rows="n", limit=limit) for limit in (1 << 26, 40))
+    assert small.columns == large.columns == ["i", "k", "v", "m", "n"]
+    key = lambda r: (r["k"] is None, r["k"], r["i"])
+    assert sorted(small.collect(), key=key) == sorted(large.collect(), key=key)
+    assert small.filter("k is null and n = 50").count() == 50
+    some = stats.filter("k = 1 or k is null")
+    for limit in (1 << 26, 40):
+        assert attach(df, some, ["k"], rows="n", how="inner", limit=limit).count() == 550
+        assert attach(df, some, ["k"], rows="n", limit=limit).filter("m is null").count() == 9
 
 
 @pytest.mark.parametrize("linear", [True, False])

@@ -87,16 +87,16 @@ def rarity(spark, d):
 
 @query(
     "normal_slices",
-    """SELECT event_id, value FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-02 09:40:50' AND TIMESTAMP '2024-01-03 09:41:50'
+    """SELECT event_id, value FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-02 06:15:00' AND TIMESTAMP '2024-01-02 21:45:00'
        OR ts BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-04 00:00:00'
-       OR ts BETWEEN TIMESTAMP '2024-01-20 10:23:15' AND TIMESTAMP '2024-01-21 10:23:48'""",
+       OR ts BETWEEN TIMESTAMP '2024-01-17 03:30:00' AND TIMESTAMP '2024-01-19 15:00:00'""",
 )
 def normal_slices(spark, d):
     slices = spark.createDataFrame(
         [
-            ("2024-01-02 09:40:50", "2024-01-03 09:41:50"),
+            ("2024-01-02 06:15:00", "2024-01-02 21:45:00"),
             ("2024-01-03 00:00:00", "2024-01-04 00:00:00"),
-            ("2024-01-20 10:23:15", "2024-01-21 10:23:48"),
+            ("2024-01-17 03:30:00", "2024-01-19 15:00:00"),
         ],
         "slice_start string, slice_end string",
     )

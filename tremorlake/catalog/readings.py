@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import iso_seconds_text, label_above, label_outside, parse_seconds, to_decimal
+from ..functions import iso_seconds_text, label_above, label_outside, parse_seconds, to_decimal, vector_element
 from ..operators import clean
+from ..operators.kmeans import assemble
 from ..plans import with_position
 from ..plans.scratch import scratch_path
-from ..sources.csv import export_csv, read_header_csv, read_sensor_csv
+from ..sources.csv import export_csv, normalise_columns, read_header_csv, read_sensor_csv, write_sorted_csv
 from ..streaming.ingest import accepted, decode, quarantined
 from .registry import event_block, events, query
 
@@ -257,3 +258,28 @@ def message_decode(spark, d):
 )
 def message_quarantine(spark, d):
     return quarantined(decode(messages(spark, d)))
+
+
+@query("column_variants", f"SELECT event_id, device_id, x, y, z FROM ({_AXES})")
+def column_variants(spark, d):
+    """The other naming of delivered files, brought to the one of this library."""
+    other = three_axes(spark, d).withColumnsRenamed({a: f"Acceleration{a}" for a in "XYZ"})
+    axes = normalise_columns(other)
+    return axes.select("event_id", "device_id", *[F.col(a).alias(a.lower()) for a in "XYZ"])
+
+
+@query("ordered_csv", "SELECT event_id, round(value, 4) AS value FROM events WHERE value > 100")
+def ordered_csv(spark, d):
+    """Readings above 100 in one ordered file, read back."""
+    path = scratch_path(spark, "ordered-csv")
+    rows = events(spark, d).filter("value > 100").select("event_id", "value")
+    write_sorted_csv(rows, path, ["value", "event_id"], header=True, single_file=True)
+    back = read_header_csv(spark, path, {"event_id": "bigint", "value": "double"})
+    return back.select("event_id", F.round("value", 4).alias("value"))
+
+
+@query("vector_elements", f"SELECT event_id, x AS first, y AS second, CAST(NULL AS DOUBLE) AS third FROM ({_AXES})")
+def vector_elements(spark, d):
+    """Two readings as an ML vector and back; there is no third element."""
+    vectors = assemble(three_axes(spark, d).fillna(0.0, ["Y"]), ["X", "Y"], "vec")
+    return vectors.select("event_id", *[vector_element("vec", i).alias(n) for i, n in enumerate(("first", "second", "third"))])

@@ -6,6 +6,7 @@ from ..operators.normalize import apply_scaler, fit_scaler, znorm
 from ..operators.smooth import lag_windows, moving_average, rolling_mean, smoothed_windows
 from ..plans import with_position
 from ..plans.scratch import scratch_path
+from ..sources.models import load_parameters, save_parameters
 from ..sources.series import read_series, write_series
 from .registry import event_block, events, query, table, with_day
 
@@ -73,6 +74,29 @@ def scaler_reuse(spark, d):
     return apply_scaler(df.select("event_id", "value"), stats, "value").drop("value")
 
 
+@query(
+    "saved_scaler",
+    """SELECT event_id, round((value - avg(value) OVER ()) / stddev_samp(value) OVER (), 6) AS zscale FROM events""",
+)
+def saved_scaler(spark, d):
+    """Statistics fitted, saved, loaded and applied."""
+    df, path = events(spark, d).select("event_id", "value"), scratch_path(spark, "scaler")
+    save_parameters(fit_scaler(df, "value"), path)
+    return apply_scaler(df, load_parameters(spark, path), "value").drop("value")
+
+
+@query(
+    "znorm_null_device",
+    """WITH e AS (SELECT event_id, nullif(user_id % 5, 0) AS device, value FROM events)
+       SELECT event_id, device, round((value - avg(value) OVER w) / stddev_samp(value) OVER w, 6) AS zscale
+       FROM e WINDOW w AS (PARTITION BY device)""",
+)
+def znorm_null_device(spark, d):
+    """Readings without a device are a series of their own."""
+    df = events(spark, d).select("event_id", F.expr("nullif(user_id % 5, 0)").alias("device"), "value")
+    return znorm(df, "value", ["device"]).select("event_id", "device", "zscale")
+
+
 def _centred_sql(k):
     return f"""SELECT event_id, user_id, round(avg(value) OVER (PARTITION BY user_id, CAST(ts AS DATE)
                ORDER BY event_id ROWS BETWEEN {k} PRECEDING AND {k} FOLLOWING), 6) AS moving_average FROM events"""

@@ -27,8 +27,10 @@ def load_signal(
     """Readings of all files as (device_id, timestamp, ts, value), along each device's own axis."""
     raw = csv.normalise_columns(csv.read_sensor_csv(spark, path, columns, device_pattern=device_pattern))
     df = raw.withColumn("ts", F.try_to_timestamp("timestamp"))
-    if start_time and end_time:
-        df = clean.time_range(df, "ts", start_time, end_time)
+    if start_time:
+        df = df.filter(F.col("ts") >= F.lit(start_time).cast("timestamp"))
+    if end_time:
+        df = df.filter(F.col("ts") <= F.lit(end_time).cast("timestamp"))
     df = clean.canonical_axis(df, axis_map if axis_map is not None else clean.default_axis_map(spark))
     return df.select("device_id", "timestamp", "ts", "value")
 

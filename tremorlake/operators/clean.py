@@ -67,8 +67,14 @@ def canonical_axis(
     axes: Sequence[str] = ("X", "Y", "Z"),
     out: str = "value",
 ) -> DataFrame:
-    """Add the signed reading of the device's own axis; NULL for a device without an entry."""
+    """Add the signed reading of the device's own axis; NULL for a device without an entry.
+
+    A device has one entry in ``axis_map`` at most; two are an error, not two rows per reading.
+    """
     x, y, z = (F.col(a) for a in axes)
+    twice = axis_map.groupBy("device_id").count().filter("count > 1").limit(5).collect()
+    if twice:
+        raise ValueError(f"the axis map has several entries for devices {[r['device_id'] for r in twice]}")
     lookup = axis_map.select(
         F.col("device_id").cast(df.schema[device].dataType).alias(device),
         F.col("axis").alias("_axis"),

@@ -33,8 +33,12 @@ def unmatched(
 
 
 def confusion(df: DataFrame, actual: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
-    """tn, fp, fn and tp in one aggregate."""
-    a, p = F.col(actual) == 1, F.col(prediction) == 1
+    """tn, fp, fn and tp in one aggregate; they add up to the rows.
+
+    A NULL truth or prediction belongs in no cell and is an error: drop or fill such rows first.
+    """
+    missing = F.raise_error(F.lit("truth and prediction must not be NULL")).cast("boolean")
+    a, p = (F.when(F.col(c).isNull(), missing).otherwise(F.col(c) == 1) for c in (actual, prediction))
     return df.groupBy(*by).agg(
         F.count_if(~a & ~p).alias("tn"),
         F.count_if(~a & p).alias("fp"),

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import attach, exact_quantiles
+from ..plans import attach, exact_quantiles, join_series
 
 
 def moment_features(
@@ -134,7 +134,7 @@ def quantile_features(
     base = df.groupBy(*by).agg(F.avg(value).alias("_mean"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     gap = F.abs(F.col("_mean") - F.col("median"))
     return (
-        base.join(q, list(by))
+        join_series(base, q, list(by))
         .withColumn("symmetry_looking", gap < r * (F.col("_hi") - F.col("_lo")))
         .drop("_mean", "_lo", "_hi")
     )
@@ -154,9 +154,11 @@ def series_features(
     keys = list(by)
     moments = {k: v for k, v in options.items() if k in ("r", "count_range", "count_value")}
     relative = {k: v for k, v in options.items() if k in ("r_sigma", "bins")}
-    return (
-        moment_features(df, keys, value, **moments)
-        .join(relative_features(df, keys, value, **relative), keys)
-        .join(recurrence_features(df, keys, value), keys)
-        .join(quantile_features(df, keys, value, quantiles), keys)
-    )
+    out = moment_features(df, keys, value, **moments)
+    for part in (
+        relative_features(df, keys, value, **relative),
+        recurrence_features(df, keys, value),
+        quantile_features(df, keys, value, quantiles),
+    ):
+        out = join_series(out, part, keys)
+    return out

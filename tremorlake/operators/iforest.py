@@ -67,15 +67,26 @@ def _unit_hash(*columns) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
-def draw_pool(df: DataFrame, row_key: Sequence[str], rows: int, seed: int) -> tuple[DataFrame, int]:
-    """The ``rows`` rows with the smallest hash, a sample that no repartitioning changes, and how
-    many rows that are."""
+def draw_samples(
+    df: DataFrame, row_key: Sequence[str], trees: int, rows: int, seed: int
+) -> DataFrame:
+    """For every tree the ``rows`` rows of ``df`` with the smallest hash, ranked in ``_r``.
+
+    Every tree draws from all rows, and no repartitioning changes what it draws. Only rows below a bound
+    are ranked; a tree that finds fewer than it should raises the bound for all.
+    """
     n = df.count()
-    u = df.withColumn("_u", _unit_hash(F.lit(seed), *row_key))
-    if n > rows:
-        # Only about 1.5 x rows rows take part in the selection.
-        u = u.filter(F.col("_u") < 1.5 * rows / n).orderBy("_u", *row_key).limit(rows)
-    return u, min(n, rows)
+    bound = (2.0 * rows + 64) / max(n, 1)
+    w = Window.partitionBy("tree").orderBy("_t", *row_key)
+    while True:
+        drawn = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        drawn = drawn.withColumn("_t", _unit_hash(F.lit(seed), "tree", *row_key)).filter(F.col("_t") < bound)
+        drawn = drawn.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= rows)
+        drawn = write_scratch(drawn, "samples")
+        full = drawn.groupBy("tree").count().filter(F.col("count") == min(rows, n)).count()
+        if full == trees or bound > 1:
+            return drawn
+        bound *= 4
 
 
 def fit_forest(
@@ -91,14 +102,7 @@ def fit_forest(
     """``features`` is an array column. The threshold is the (1 - contamination) quantile of the
     training scores."""
     rows = df.select(*row_key, features).filter(F.col(features).isNotNull())
-    pool, size = draw_pool(rows, row_key, trees * sample_rows, seed)
-    drawn = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    # Twice the rows a tree needs, and then the smallest hashes among them.
-    drawn = drawn.withColumn("_t", _unit_hash(F.lit(seed), "tree", *row_key)).filter(
-        F.col("_t") < (2.0 * sample_rows + 64) / max(size, 1)
-    )
-    w = Window.partitionBy("tree").orderBy("_t", *row_key)
-    drawn = drawn.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= sample_rows)
+    drawn = draw_samples(rows, row_key, trees, sample_rows, seed)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_r")

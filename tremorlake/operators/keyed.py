@@ -71,7 +71,8 @@ def upsert_partitions(
 ) -> None:
     """Merge updates into a table partitioned by ``partition``; other partitions stay as they are.
 
-    The merged partitions are staged first, so no folder is overwritten while it is read.
+    The merged partitions are staged first, so no folder is overwritten while it is read. Folders are replaced one after the other, not as one
+    transaction; a writer that needs that uses ``append_batch``.
     """
     staged_updates = write_scratch(updates, "updates")
     touched = write_scratch(staged_updates.select(partition).distinct(), "touched")
@@ -80,7 +81,7 @@ def upsert_partitions(
     affected = base.join(touched, partition, "left_semi")
     merged = write_scratch(upsert(affected.select(*updates.columns), staged_updates, keys, version), "merged")
     (
-        merged.repartition(partition, *keys)
+        merged.repartitionByRange(partition, *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans import attach, exact_quantiles, framed, running_total, write_scratch
+from ..plans import attach, exact_quantiles, framed, join_series, running_total, write_scratch
 from ..plans.frames import CHUNK_ROWS, chunk_of
 
 
@@ -30,7 +30,7 @@ def _with_stats(
     )
     if corridor:
         low, high = corridor
-        stats = stats.join(exact_quantiles(df, value, {"_ql": low, "_qh": high}, by), by, "left")
+        stats = join_series(stats, exact_quantiles(df, value, {"_ql": low, "_qh": high}, by), by)
     return attach(df.select(*by, pos, value), stats, by, rows="_n")
 
 
@@ -131,13 +131,13 @@ def longest_run(
     )
     tail = F.col("_n") - F.coalesce(F.col("_last"), F.lit(-1)) - 1
     best = F.greatest(F.coalesce("_gap", F.lit(0)), F.coalesce("_jump", F.lit(0)), tail)
-    return length.join(runs, by, "left").select(*by, best.cast("bigint").alias(out))
+    return join_series(length, runs, by).select(*by, best.cast("bigint").alias(out))
 
 
 def _strikes(rows: DataFrame, by: list[str], value: str, pos: str, chunk_rows: int) -> DataFrame:
     above = longest_run(rows, by, F.col(value) > F.col("_mean"), "longest_strike_above_mean", pos, chunk_rows)
     below = longest_run(rows, by, F.col(value) < F.col("_mean"), "longest_strike_below_mean", pos, chunk_rows)
-    return above.join(below, by)
+    return join_series(above, below, by)
 
 
 def strike_features(
@@ -249,8 +249,5 @@ def ordered_features(
         *_energy_aggregates(value, pos, segments),
         *_corridor_aggregates(value),
     )
-    return (
-        _change_columns(changes)
-        .join(_strikes(rows, by, value, pos, chunk_rows), by)
-        .join(_mass_quantiles(rows, by, value, (0.5,), pos, chunk_rows), by)
-    )
+    out = join_series(_change_columns(changes), _strikes(rows, by, value, pos, chunk_rows), by)
+    return join_series(out, _mass_quantiles(rows, by, value, (0.5,), pos, chunk_rows), by)

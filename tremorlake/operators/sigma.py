@@ -40,7 +40,6 @@ def label_episodes(
 ) -> DataFrame:
     """Label 1 for every row of a flagged bucket, outlier or not, and 0 elsewhere."""
     keys = [*by, bucket]
-    counts = [c for c in episodes.columns if c not in keys]
-    flags = episodes.select(*keys, F.col(counts[0]).alias("_n"))
+    flags = episodes.select(*keys, F.lit(1).alias("_n"))
     joined = attach(df, flags, keys, rows="_n")
     return joined.withColumn(out, (F.coalesce("_n", F.lit(0)) > 0).cast("int")).drop("_n")

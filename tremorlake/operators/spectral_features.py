@@ -245,15 +245,15 @@ def segment_features(
     df: DataFrame,
     by: Sequence[str],
     value: str,
-    segment_rows: int = 4096,
+    segment_rows: int,
     pos: str = "pos",
     m: int = 2,
     r: float = 0.5,
 ) -> DataFrame:
     """Spectral moments and approximate and sample entropy of each segment of a series.
 
-    A segment is ``segment_rows`` consecutive rows, so a group never holds more, and a series of
-    up to that length is one segment. Every row belongs to a segment.
+    A segment is ``segment_rows`` consecutive rows, so a group never holds more. The length is
+    part of what the features mean, so it has no default. Every row belongs to a segment.
     """
     by = list(by)
     rows = df.filter(F.col(value).isNotNull()).select(

@@ -1,5 +1,5 @@
 from .frames import framed, with_halo
-from .joins import attach, attach_scalar
+from .joins import attach, attach_scalar, join_series
 from .positions import running_total, with_position
 from .quantiles import exact_quantiles
 from .scratch import clear_scratch, scratch_scope, write_scratch
@@ -11,6 +11,7 @@ __all__ = [
     "clear_scratch",
     "exact_quantiles",
     "framed",
+    "join_series",
     "running_total",
     "scratch_scope",
     "top_k",

@@ -29,14 +29,18 @@ def with_halo(
     df: DataFrame, pos: str, before: int, after: int = 0, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Add ``_chunk`` and ``_halo``; edge rows appear again for the chunk that reaches them."""
-    if max(before, after) > chunk_rows:
-        raise ValueError("a frame must not reach past the neighbouring chunk: raise chunk_rows")
     chunk = chunk_of(pos, chunk_rows)
     local = F.pmod(F.col(pos), F.lit(chunk_rows))
 
     def seat(number: Column, halo: bool) -> Column:
         return F.struct(number.alias(_CHUNK), F.lit(halo).alias(_HALO))
 
+    if max(before, after) > chunk_rows:
+        # A frame over several chunks: the row goes to every chunk that reaches it.
+        first = F.greatest(F.expr(f"(`{pos}` - {after}) div {chunk_rows}"), F.lit(0).cast("bigint"))
+        last = F.expr(f"(`{pos}` + {before}) div {chunk_rows}")
+        seats = F.transform(F.sequence(first, last), lambda c: seat(c, c != chunk))
+        return df.select("*", F.inline(seats))
     own = seat(chunk, False)
     if not before and not after:
         return df.withColumns({_CHUNK: chunk, _HALO: F.lit(False)})

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .scratch import write_scratch
 
 BROADCAST_BYTES = 64 << 20
-_SALTS = 4096
 _CELL_BYTES = 16
 
 
@@ -50,29 +49,39 @@ def attach(
     ``df`` is not shuffled. Beyond that only the groups with the most rows (as many as fit
     the limit; ``rows`` names the count column) are broadcast, and the other groups, each at
     most a 1/k-th of the data, meet ``df`` in a shuffle join from which the rows that are
-    already served are spread away by a salt.
+    already served are spread away by a salt. NULL keys have statistics of their own. The result has the
+    columns of ``df`` and then those of ``stats``, whichever way is taken.
     """
     keys = list(keys)
     values = [c for c in stats.columns if c not in keys]
     table = write_scratch(stats, "stats")
     size = measured_bytes(table)
+    side = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+
+    same: list[Column] = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+
     if size <= limit:
-        return df.join(F.broadcast(table), keys, how)
-
-    per_row = max(size // max(table.count(), 1), 1)
-    hot = write_scratch(table.orderBy(F.desc(rows), *keys).limit(max(limit // per_row, 1)), "hot")
-    hot = hot.select(*keys, F.struct(*values).alias("_hot"))
-    cold = table.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    cold = cold.select(*keys, F.struct(*values).alias("_cold"), F.lit(-1).alias("_salt"))
-    salt = F.when(
-        F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)).cast("int")
-    ).otherwise(F.lit(-1))
-    joined = (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", salt)
-        .join(cold, [*keys, "_salt"], "left")
-        .withColumn("_st", F.coalesce("_hot", "_cold"))
-    )
-    if how == "inner":
-        joined = joined.filter(F.col("_st").isNotNull())
+        joined = df.join(F.broadcast(table.select(*side, F.struct(*values).alias("_st"))), same, how)
+    else:
+        per_row = max(size // max(table.count(), 1), 1)
+        most = table.orderBy(F.desc(rows), *keys).limit(max(limit // per_row, 1))
+        hot = write_scratch(most.select(*side, F.struct(*values).alias("_hot")), "hot")
+        cold = table.join(F.broadcast(hot.drop("_hot")), same, "left_anti")
+        cold = cold.select(*side, F.struct(*values).alias("_cold"), F.lit(-1).cast("bigint").alias("_kk"))
+        served = df.join(F.broadcast(hot), same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+        # Rows that are served meet nothing below; numbering them spreads even equal rows of one key.
+        number = F.when(F.col("_hot").isNotNull(), F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("bigint"))
+        served = served.withColumn("_salt", number)
+        joined = served.join(cold, [*same, F.col("_salt") == F.col("_kk")], "left")
+        joined = joined.withColumn("_st", F.coalesce("_hot", "_cold"))
+        if how == "inner":
+            joined = joined.filter(F.col("_st").isNotNull())
     return joined.select(*df.columns, *[F.col(f"_st.{v}").alias(v) for v in values])
+
+
+def join_series(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Columns of ``right`` next to every row of ``left``; both have one row per ``keys``, and NULL meets NULL."""
+    side = right.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    joined = left.join(side, same, "left") if keys else left.crossJoin(side)
+    return joined.drop(*[f"_k{i}" for i in range(len(keys))])

@@ -34,9 +34,15 @@ def _pick(ranked: DataFrame, by: list[str], quantiles: Mapping[str, float], line
         return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c")), F.col("_v")))
 
     picked = ranked.groupBy(*by, "_i").agg(
-        value_at(low).alias("_a"), value_at(high).alias("_b"), F.first(place - low).alias("_f")
+        value_at(low).alias("_a"),
+        value_at(high).alias("_b"),
+        F.first(place - low).alias("_f"),
+        F.first(high - place).alias("_g"),
     )
-    result = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")
+    # As Spark's own percentile interpolates, so that a group's size does not show in the last digit.
+    between = F.when(F.col("_f") == 0, F.col("_a")).otherwise(F.col("_g") * F.col("_a") + F.col("_f") * F.col("_b"))
+    lost = F.raise_error(F.lit("the bracket of a quantile does not cover its rank")).cast("double")
+    result = F.when(F.col("_a").isNull() | F.col("_b").isNull(), lost).otherwise(between)
     return picked.groupBy(*by).agg(
         *[F.max(F.when(F.col("_i") == i, result)).alias(name) for i, name in enumerate(quantiles)]
     )

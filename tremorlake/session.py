@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,8 @@ def local_session(cores: str | int = "8", app: str = "tremorlake") -> SparkSessi
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TREMORLAKE_DRIVER_MEMORY", "12g"))
+        # One machine, so its own folder is shared; a cluster names one that all executors see.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tremorlake-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

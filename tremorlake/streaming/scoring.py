@@ -109,8 +109,10 @@ def incremental_scorer(
         fresh = latest_version(batch, [device, index], rest)
         if path_exists(spark, before):
             tail = spark.read.schema(_fields_with_position(batch)).parquet(before)
-        else:
+        elif batch_id == 0:
             tail = spark.createDataFrame([], _fields_with_position(batch))
+        else:
+            raise RuntimeError(f"the state of batch {batch_id - 1} is missing under {state_path}")
         marks = tail.groupBy(device).agg(
             F.max(index).alias("_last"), (F.max("pos") + 1).alias("_next"), F.count(F.lit(1)).alias("_n")
         )
