@@ -234,18 +234,18 @@ def test_votes_find_the_reliable_labelers():
 
 PAGE = (
     "<html><head><title>t</title><style>p{}</style></head><body><nav><ul><li><a>m%d</a></li></ul></nav><div class='note-box'><p>Same everywhere</p></div>"
-    "<div><h1>Head %d</h1><p>one  &amp; %d<p>two<br>lines</div><div class=comments><p>reader</p></div><form>f</form><footer>&copy;</footer></body>"
+    "<div><h1>Head %d</h1><p>one  &amp; %d<p>two<br>lines%d</div><div class=comments><p>reader</p></div><form>f</form><footer>&copy;</footer></body>"
 )
 
 
 def test_wrapper_of_a_host(spark):
-    rows = [(i, f"http://a.example/{i}", PAGE % (i, i, i)) for i in range(12)]
+    rows = [(i, f"http://a.example/{i}", PAGE % (i, i, i, i)) for i in range(12)]
     rows += [(50, "http://b.example/x", "<p>Same everywhere<article><p>in</p></article>"), (51, None, None), (52, "bad", "plain &lt; text"), (53, "http://b.example/y", "<p>a<!-- x")]
     rows.append(rows[0])
     frame = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, text string")
     for limit in (1 << 26, 0):
         got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_text(frame, limit=limit).collect())
-        text = [f"Head {i}\n\none & {i}\n\ntwo lines" for i in range(12)]
+        text = [f"Head {i}\n\none & {i}\n\ntwo lines{i}" for i in range(12)]
         want = [(i, t, len(t)) for i, t in enumerate(text)] + [(0, text[0], len(text[0]))]
         want += [(50, "in", 2), (51, "", 0), (52, "plain < text", 12), (53, "a", 1)]
         assert got == sorted(want)

@@ -140,7 +140,8 @@ def best_class(right: np.ndarray, left: np.ndarray, own: float, now: int, follow
     r, l = right.astype(float).copy(), left.astype(float).copy()
     r[now] -= own
     l[now] -= own
-    rows, cols = m.sum(axis=1), m.sum(axis=0)
+    # Wherever the unit goes, the other classes keep their pairs with it.
+    rows, cols = m.sum(axis=1) + l, m.sum(axis=0) + r
     gain = (_xlogx(m + r) - _xlogx(m)).sum(axis=1) + (_xlogx(m + l[:, None]) - _xlogx(m)).sum(axis=0)
     d = np.diag(m)
     gain -= _xlogx(d + r) + _xlogx(d + l) - 2 * _xlogx(d)

@@ -148,6 +148,8 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, penalty:
 def _label(texts: list[str | None], model: Languages) -> list[tuple[str, float, list[dict]]]:
     """Language, share of its characters and spans (word numbers, both ends included) of each text."""
     n = len(model.names)
+    if not n:
+        return [("und", 0.0, [])] * len(texts)
     scores, chars, doc = [], [], []
     for i, text in enumerate(texts):
         for block in _pieces(text or ""):

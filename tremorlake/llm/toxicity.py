@@ -205,7 +205,7 @@ def fit_toxicity(
         return Toxicity(b"", b"", (), prior)
     model = Toxicity(found[0], found[1], ())
     seen = rows.filter("_part = 0").select("_y", model.counts(F.col("_t")).alias("_c"))
-    pairs = seen.collect()
+    pairs = sorted(seen.collect())  # so that sums do not depend on the partitioning
     y = np.array([r["_y"] for r in pairs], float)
     if not 0 < y.sum() < len(y):
         return Toxicity(b"", b"", (), prior)
