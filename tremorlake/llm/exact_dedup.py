@@ -1,7 +1,8 @@
 """Exact deduplication by sorting the content.
 
-Rows are range-partitioned on the whole text (Spark samples the splitters), each partition is sorted
-externally, and rows of equal text lie side by side: a window over them compares each row with its
+Rows are range-partitioned on the text: Spark samples the splitters, for which the first ``HEAD`` characters
+and a hash of the whole stand, as whole texts would not fit the driver. Each partition is sorted externally
+by the whole text, and rows of equal text lie side by side: a window over them compares each row with its
 neighbour in full and keeps the largest identifier.
 
 One text may be a third of all rows. A first pass counts rows by a 64-bit hash of the text, combined in
@@ -21,6 +22,7 @@ from .common import query, table, text_of
 HOT_ROWS = 500
 HOT_SHARE = 100_000
 SALTS = 256
+HEAD = 32
 
 
 def _sorted_runs(docs: DataFrame, text: str, key: str, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
@@ -30,13 +32,15 @@ def _sorted_runs(docs: DataFrame, text: str, key: str, hot_rows: int) -> tuple[D
         text_of(text).alias("_text"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("_row"),
         F.col(text).isNull().alias("_null"),
-    ).withColumn("_hash", F.xxhash64("_text"))
+    ).withColumns({"_hash": F.xxhash64("_text"), "_head": F.substring("_text", 1, HEAD)})
     least = max(hot_rows, docs.count() // HOT_SHARE)
     counts = rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
     hot = write_scratch(counts.filter(F.col("_n") > least).select("_hash"), "hot-texts")
 
     def ranked(part: DataFrame, by: list[str]) -> DataFrame:
-        down = Window.partitionBy(*by).orderBy(F.desc_nulls_last("_key"))
+        # Equal texts have equal heads and hashes, so they lie in one partition; the sort compares whole texts.
+        by = ["_head", "_hash", *by]
+        down = Window.partitionBy(*by, "_text").orderBy(F.desc_nulls_last("_key"))
         whole = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return part.repartitionByRange(*by).withColumns(
             {
@@ -47,12 +51,12 @@ def _sorted_runs(docs: DataFrame, text: str, key: str, hot_rows: int) -> tuple[D
         )
 
     if hot.isEmpty():
-        return ranked(rows, ["_text"]), None
+        return ranked(rows, []), None
     cold = rows.join(F.broadcast(hot), "_hash", "left_anti")
     salted = rows.join(F.broadcast(hot), "_hash", "left_semi").withColumn(
         "_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int")
     )
-    return ranked(cold, ["_text"]), ranked(salted, ["_text", "_salt"])
+    return ranked(cold, []), ranked(salted, ["_salt"])
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", hot_rows: int = HOT_ROWS) -> DataFrame:
