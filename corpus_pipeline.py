@@ -27,8 +27,13 @@ def _by_key(docs: DataFrame, decided: DataFrame, how: str) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones among them, does not call toxic."""
+    """Documents that the classifier, fitted on the labelled ones among them, does not call toxic.
+
+    All documents, where the labels do not suffice for a classifier.
+    """
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    if not model.weights:
+        return docs
     return docs.filter(model.score(model.counts(F.col("text"))) < 0.5)
 
 

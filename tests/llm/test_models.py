@@ -56,6 +56,24 @@ def test_toxicity_of_awkward_rows(spark, docs, labels):
     assert again == model
 
 
+def test_toxicity_keeps_the_share_of_a_sampled_class(spark):
+    # No word is shared by three documents, so the score is the share of toxic rows.
+    rows = [(i, "word" + f"{i:04d}".translate(str.maketrans("0123456789", "abcdefghij"))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = [(i, int(i < 60)) for i in range(600)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    train = [y for i, y in marks if fold(i, 5)]
+    assert toxicity.fit_toxicity(docs, labels, sample=40).prior == pytest.approx(sum(train) / len(train))
+
+
+def test_weighted_logistic_is_that_of_repeated_rows():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(80, 2)), (rng.random(80) < 0.3).astype(float)
+    times = rng.integers(1, 5, 80)
+    got = toxicity._fit_logistic(x, y, times.astype(float))
+    assert got == pytest.approx(toxicity._fit_logistic(np.repeat(x, times, axis=0), np.repeat(y, times)), abs=1e-6)
+
+
 def test_window_gain():
     windows = toxicity.Windows(b" idiot scum common ", b" common words here ")
     assert windows.gain("idiot") > 2 and windows.gain("scum") > 1 and windows.gain("words") < 0 and windows.gain("other") == 0

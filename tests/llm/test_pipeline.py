@@ -51,3 +51,9 @@ def test_stages_keep_columns_of_awkward_rows(spark):
         left = {(r["doc_id"], r["score"]) for r in docs.collect()}
         assert left in (set(), {(2, None), (3, "s"), (None, None)})
         cp.STAGES[-1][1](spark, docs, SF).count()
+
+
+def test_toxicity_stage_keeps_all_rows_without_a_classifier(spark, tmp_path):
+    docs = spark.createDataFrame([(i, chr(97 + i % 26) * (5 + i // 26)) for i in range(30)], "doc_id bigint, text string")
+    spark.createDataFrame([(i, int(i < 28)) for i in range(30)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert cp.toxicity(spark, docs, str(tmp_path)).count() == 30

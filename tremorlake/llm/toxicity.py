@@ -11,7 +11,8 @@ a common word is never a gain. Windows start with a header that both dictionarie
 window is stored compressed, and end with a tail, since zstandard starts no match in the last eight bytes.
 
 What is bounded: the labelled rows the fit uses (``SAMPLE`` per class, those with the smallest hash) and
-the dictionaries. Every document is scored over its whole text.
+the dictionaries. Sampled rows weigh as many as all labelled rows of their class, so that a bounded class
+keeps its share. Every document is scored over its whole text.
 """
 
 from __future__ import annotations
@@ -135,14 +136,15 @@ def _features(counts, lib):
     return [*[lib.log1p(h.astype(float) if lib is np else h) for h in hits], 100 * strong / (windows + 20)]
 
 
-def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[float, ...]:
-    """Ridge logistic regression by Newton steps; the cut at 0.5 is moved to the best F1."""
+def _fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 0.5) -> tuple[float, ...]:
+    """Ridge logistic regression by Newton steps; the cut at 0.5 is moved to the best F1. Rows count ``weight`` times."""
+    weight = np.ones(len(y)) if weight is None else weight
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     keep = np.diag([1e-6] + [ridge] * (len(w) - 1))
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + keep, x.T @ (y - p) - keep @ w)
+        step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + keep, x.T @ (weight * (y - p)) - keep @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -151,7 +153,8 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> tuple[flo
     if len(cuts) > 400:
         cuts = cuts[np.linspace(0, len(cuts) - 1, 400).astype(int)]
     s = x @ w
-    f1 = [(2 * y[s >= c].sum() / max(1.0, (s >= c).sum() + y.sum()), -abs(c)) for c in cuts]
+    toxic = weight * y
+    f1 = [(2 * toxic[s >= c].sum() / max(1.0, weight[s >= c].sum() + toxic.sum()), -abs(c)) for c in cuts]
     if f1:
         w[0] -= cuts[max(range(len(cuts)), key=f1.__getitem__)]
     return tuple(map(float, w))
@@ -176,7 +179,10 @@ def fit_toxicity(
     label: str = "toxic",
     sample: int = SAMPLE,
 ) -> Toxicity:
-    """Learn from labelled rows outside fold 0; two thirds of them train the dictionaries."""
+    """Learn from labelled rows outside fold 0; two thirds of them train the dictionaries.
+
+    At most ``sample`` rows per class are read; they stand for all labelled rows of their class.
+    """
     marked = (
         labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & (fold_of(key, FOLDS) != 0))
         .groupBy(key)
@@ -200,7 +206,11 @@ def fit_toxicity(
     for n, size in (("n1", TOXIC_BYTES), ("n0", ORDINARY_BYTES)):
         top = df.filter(F.col(n) >= LEAST_DOCS).orderBy(F.desc(n), "w").limit(size // 5)
         found.append(_dictionary(top.select("w").collect(), size))
-    prior = rows.agg(F.avg("_y")).first()[0] or 0.0
+    # Labelled rows of each class, all and sampled.
+    copies = docs.groupBy(F.col(key).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    whole_n = {r["_y"]: r["n"] for r in copies.join(marked, "_id").groupBy("_y").agg(F.sum("_n").alias("n")).collect()}
+    part_n = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    prior = whole_n.get(1, 0) / max(1, sum(whole_n.values()))
     if not found[0] or not found[1]:
         return Toxicity(b"", b"", (), prior)
     model = Toxicity(found[0], found[1], ())
@@ -210,7 +220,8 @@ def fit_toxicity(
     if not 0 < y.sum() < len(y):
         return Toxicity(b"", b"", (), prior)
     counts = np.array([r["_c"] for r in pairs], float).T
-    return Toxicity(found[0], found[1], _fit_logistic(np.column_stack(_features(list(counts), np)), y))
+    weight = np.where(y == 1, whole_n[1] / part_n[1], whole_n[0] / part_n[0])
+    return Toxicity(found[0], found[1], _fit_logistic(np.column_stack(_features(list(counts), np)), y, weight))
 
 
 def score_toxicity(docs: DataFrame, model: Toxicity, text: str = "text", key: str = "doc_id") -> DataFrame:
