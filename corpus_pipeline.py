@@ -16,16 +16,10 @@ from tremorlake.llm.exact_dedup import drop_copies
 from tremorlake.llm.mixture import fair_mixture
 from tremorlake.llm.near_dedup import near_duplicates
 from tremorlake.llm.toxicity import fit_toxicity
-from tremorlake.plans import scratch_scope
+from tremorlake.plans import scratch_scope, write_scratch
 from tremorlake.plans.scratch import scratch_path
 
 
-def _by_key(docs: DataFrame, decided: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is (left_semi) or is not (left_anti) in ``decided``; null meets null."""
-    ids = decided.select(F.col("doc_id").alias("_k")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_k"]), how)
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, does not call toxic.
 
@@ -43,15 +37,25 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, the one with the smallest doc_id."""
-    gone = near_duplicates(docs).filter("not kept and component_id is not null")
-    return _by_key(docs, gone, "left_anti")
+    """One document of each component of near copies, the one with the smallest doc_id (null last).
+
+    Rows are told apart by a number of their own, so a doc_id may be null or repeat.
+    """
+    rows = write_scratch(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows, key="_row").select("_row", "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    found = write_scratch(found.join(rows.select("_row", "doc_id"), "_row"), "found")
+    first = found.groupBy("component_id").agg(F.min(order).alias("_first")).select("_first._row")
+    gone = found.select("_row").join(first, "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    return _by_key(docs, found, "left_anti")
+    """Documents without a benchmark passage; rows are told apart by doc_id and text."""
+    rows = docs.withColumn("_row", F.struct("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("h")))
+    found = decontaminate(rows, table(spark, sf_dir, "benchmark"), key="_row").filter("contaminated")
+    ids = found.select(F.col("_row").alias("_k")).distinct()
+    return rows.join(ids, rows["_row"].eqNullSafe(ids["_k"]), "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,3 +57,25 @@ def test_toxicity_stage_keeps_all_rows_without_a_classifier(spark, tmp_path):
     docs = spark.createDataFrame([(i, chr(97 + i % 26) * (5 + i // 26)) for i in range(30)], "doc_id bigint, text string")
     spark.createDataFrame([(i, int(i < 28)) for i in range(30)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert cp.toxicity(spark, docs, str(tmp_path)).count() == 30
+
+
+def test_stages_tell_rows_of_equal_or_null_key_apart(spark, tmp_path):
+    rng = random.Random(5)
+
+    def prose(n):
+        return [rng.choice("abcdefghijklmnop") * 2 + rng.choice("qrstuvwxyz") + rng.choice("qrstuvwxyz") for _ in range(n)]
+
+    near, passage, clean = prose(120), prose(40), [" ".join(prose(60)) for _ in range(4)]
+    copies = [" ".join([*near, extra]) for extra in ("one", "two", "three", "four")]
+    leaked = " ".join([*prose(30), *passage])
+    # Near copies with a doc_id, without one (one of them with the same shingles), and other rows of the same keys.
+    rows = [(9, copies[0]), (None, copies[1]), (None, copies[2]), (None, copies[0].upper()), (None, clean[0]), (None, clean[1]), (9, clean[2])]
+    got = [(r["doc_id"], r["text"]) for r in cp.near_dedup(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()]
+    assert sorted(got, key=str) == sorted([rows[0], *rows[4:]], key=str)
+    only = [r for r in rows if r[0] is None and r[1] in copies]
+    assert cp.near_dedup(spark, spark.createDataFrame(only, "doc_id bigint, text string"), "").count() == 1
+
+    spark.createDataFrame([(1, " ".join(passage))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, leaked), (None, clean[0]), (7, leaked + " more"), (7, clean[1]), (8, None), (None, None)]
+    out = cp.decontamination(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), str(tmp_path))
+    assert sorted([tuple(r) for r in out.collect()], key=str) == sorted([rows[1], *rows[3:]], key=str)
