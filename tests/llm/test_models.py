@@ -270,6 +270,29 @@ def test_wrapper_of_a_host(spark):
     assert html_text.extract_text(frame.limit(0)).count() == 0
 
 
+def test_marks_are_whole_words_and_never_hold_the_article():
+    def read(html, judged=False):
+        return html_text.main_text(html_text.parse(html), set(), judged)
+
+    for name in ("content-sidebar-wrap", "has-sidebar", "no-comments", "post ad-free", "sidebar"):
+        assert read(f"<div class='{name}'><article><h1 class=entry-header>h</h1><p>in</p></article></div>") == "h\n\nin"
+    assert read("<form><main><p>in</p></main></form><div class='x ad'><article>out</article></div>") == "in\n\nout"
+    assert read("<article>in</article><div class='box comments'><article>out</article></div>") == "in"
+    assert read("<p>intro</p><article>in</article><nav>m</nav>", True) == "intro\n\nin"
+    # Unread elements without end tag, and elements beyond the depth.
+    assert read("<head><title>t</title><body>in") == read("<head><title>t</title><p>in") == "in"
+    assert read("<div><button>b</div><p>in</p>") == read("<div><select><option>o</div>in") == "in"
+    assert read("<noscript><div>n</div></noscript></button><p>in") == "in"
+    deep = "<article>" + "<div>" * 300 + "x" + "</div>" * 300 + "<p>in</p></article><p>out"
+    assert read(deep) == "x\n\nin"
+
+
+def test_slots_outside_the_article_are_kept(spark):
+    page = "<body><div><p>Same</p></div><div><p>intro %d</p></div><article><p>in %d</p></article></body>"
+    pages = spark.createDataFrame([(i, f"http://a.example/{i}", page % (i, i)) for i in range(8)], "page_id bigint, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.extract_text(pages).collect()} == {i: f"intro {i}\n\nin {i}" for i in range(8)}
+
+
 def test_simple_tree_matching():
     a = html_text.parse("<div><p>1</p><ul><li>x</ul><p>2</p></div>")
     b = html_text.parse("<div><p>1</p><p>2</p></div>")

@@ -5,7 +5,8 @@ hash, and every page's DOM tree is aligned with it by simple tree matching: root
 and their children are paired in order so that the most nodes match below them. Over all pages of the host,
 an exemplar node that nearly always carries the same text is template; one whose text varies is a slot.
 A page's text is what lies in slots or in nodes that the template does not have, without the parts that
-HTML itself or their class and id mark as menus, headers, adverts, forms, comments and the like.
+HTML itself or a whole word of their class, id or role marks as menus, headers, adverts, forms, comments and
+the like. Where a host has too few pages to tell template from slot, the article element decides, if any.
 
 Alignments are counted where the pages lie; a host's counts are as large as its exemplar, so a host with a
 third of all pages is no problem. Exemplars are broadcast if their measured size allows, else joined.
@@ -37,11 +38,11 @@ BLOCKS = frozenset(
     "header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 UNREAD = frozenset("button canvas head iframe noscript object script select style svg template textarea".split())
-#: Elements, and words in class, id or role, of parts around the article.
+#: Elements, and whole words of class, id or role, of parts around the article.
 AROUND = frozenset("aside dialog footer form menu nav".split())
 AROUND_NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|login|masthead|menu|modal|nav\w*|"
-    r"newsletter|notice|popup|promo\w*|related|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar)(?:$|[-_ ])"
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|login|masthead|menu|modal|nav\w*|"
+    r"newsletter|notice|popup|promo\w*|related|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar)"
 )
 #: An open element that a new one of the second kind ends.
 ENDS = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
@@ -61,13 +62,27 @@ class Node:
         self.number = -1
 
 
+@lru_cache(maxsize=4096)
+def _marked(names: str) -> bool:
+    return any(map(AROUND_NAMES.fullmatch, names.split()))
+
+
+def _close(names: list[str], tag: str) -> None:
+    """Cut ``names`` at its last ``tag``."""
+    while names.pop() != tag:
+        pass
+
+
 class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", "html")
         self.open = [self.root]
-        self.unread = 0
+        self.hidden: list[str] = []  # an unread element and what is open inside it
+        self.deep: list[str] = []  # open elements beyond the depth, which are not in the tree
         self.held: list[str] = []
+        self.holders: list[Node] = []  # marked nodes that hold an article
+        self.plain = False  # whether an article lies in no marked node
 
     def flush(self) -> None:
         if self.held:
@@ -77,48 +92,68 @@ class _Tree(HTMLParser):
                 self.open[-1].children.append(Node("#", text=text))
 
     def handle_starttag(self, tag, attrs):
-        if tag in UNREAD:
-            self.unread += 1
-        if self.unread:
+        if tag == "body" or (self.hidden == ["head"] and tag in BLOCKS and tag != "html"):
+            self.hidden.clear()
+        if tag in UNREAD or (self.hidden and tag in BLOCKS and tag not in VOID):
+            self.hidden.append(tag)
+        if self.hidden:
             return
         if tag not in BLOCKS:
             if tag == "br":
                 self.held.append(" ")
             return
         self.flush()
-        for at in range(len(self.open) - 1, 0, -1):
+        while self.deep and tag in ENDS.get(self.deep[-1], ()):
+            self.deep.pop()
+        for at in range(0 if self.deep else len(self.open) - 1, 0, -1):
             over = self.open[at].tag
             if over in ENDS and tag in ENDS[over]:
                 del self.open[at:]
             elif over not in ("p", "li", "dt", "dd", "tr", "td", "th"):
                 break
-        if tag in ("html", "body", "hr") or len(self.open) > _DEEPEST:
+        if tag in ("html", "body", "hr"):
+            return
+        if self.deep or len(self.open) > _DEEPEST:
+            self.deep.append(tag)
             return
         names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()
         inside = any(n.tag in ("article", "main") for n in self.open)
-        around = tag in AROUND or (tag == "header" and not inside) or bool(names and AROUND_NAMES.search(names))
+        around = tag in AROUND or (tag == "header" and not inside) or _marked(names)
         node = Node(f"{tag} {names}" if names else tag, tag, around)
         self.open[-1].children.append(node)
         self.open.append(node)
+        if tag in ("article", "main"):
+            marked = [n for n in self.open if n.around]
+            self.holders += marked
+            self.plain = self.plain or not marked
 
     def handle_startendtag(self, tag, attrs):
         if tag not in UNREAD:
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in UNREAD:
-            self.unread = max(0, self.unread - 1)
+        if tag in self.hidden:
+            _close(self.hidden, tag)
             return
-        if self.unread or tag not in BLOCKS:
+        if tag not in BLOCKS:
             return
+        if self.hidden:
+            # The end of an element around them ends unread elements too.
+            if tag not in ("body", "html") and (tag == "p" or all(n.tag != tag for n in self.open[1:])):
+                return
+            self.hidden.clear()
         self.flush()
+        if tag in self.deep:
+            _close(self.deep, tag)
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag == tag:
                 del self.open[at:]
+                self.deep.clear()
                 break
 
     def handle_data(self, data):
-        if not self.unread:
+        if not self.hidden:
             self.held.append(data)
 
 
@@ -130,6 +165,9 @@ def parse(html: str | None) -> Node:
     if not _UNFINISHED.match(tree.rawdata):
         tree.handle_data(unescape(tree.rawdata))
     tree.flush()
+    if not tree.plain:  # every article lies inside marked parts: those are no marks
+        for node in tree.holders:
+            node.around = False
     stack, n = [tree.root], 0
     while stack:
         node = stack.pop()
@@ -195,8 +233,11 @@ def _exemplar(html: str) -> tuple[Node, int]:
     return root, _size(root)
 
 
-def main_text(root: Node, template: set[int]) -> str:
-    """Blocks of the article in page order; nodes numbered in ``template`` are left out."""
+def main_text(root: Node, template: set[int], judged: bool = False) -> str:
+    """Blocks of the article in page order; nodes numbered in ``template`` are left out.
+
+    If the host's template is known (``judged``), all other unmarked parts of the page are text.
+    """
     top: list[Node] = []
 
     def articles(node: Node) -> None:
@@ -208,7 +249,8 @@ def main_text(root: Node, template: set[int]) -> str:
             else:
                 articles(child)
 
-    articles(root)
+    if not judged:
+        articles(root)
     blocks: list[str] = []
     stack = list(reversed(top or [root]))
     while stack:
@@ -224,7 +266,7 @@ def main_text(root: Node, template: set[int]) -> str:
 def induce_wrappers(pages: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Rows (_host, _exemplar, _template): a page of each host and the numbers of its template nodes.
 
-    ``pages`` has _id, _host and _html. A text node is template if at least ``LEAST_PAGES`` pages match it
+    The numbers are null where no text node has ``LEAST_PAGES`` pages. ``pages`` has _id, _host and _html. A text node is template if at least ``LEAST_PAGES`` pages match it
     and at least ``TEMPLATE_SHARE`` of those carry its text.
     """
     order = F.struct(F.xxhash64("_id"), F.col("_id"), F.xxhash64("_html"))
@@ -251,9 +293,9 @@ def induce_wrappers(pages: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
 
     counted = met.mapInPandas(count, "_host string, node int, n bigint, same bigint")
     counted = counted.groupBy("_host", "node").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
-    constant = counted.filter((F.col("n") >= LEAST_PAGES) & (F.col("same") >= TEMPLATE_SHARE * F.col("n")))
+    constant = F.when(F.col("same") >= TEMPLATE_SHARE * F.col("n"), F.col("node"))
     # As many numbers as the exemplar has nodes.
-    template = constant.groupBy("_host").agg(F.sort_array(F.collect_list("node")).alias("_template"))
+    template = counted.filter(F.col("n") >= LEAST_PAGES).groupBy("_host").agg(F.sort_array(F.collect_list(constant)).alias("_template"))
     return write_scratch(exemplars.join(template, "_host", "left"), "wrappers")
 
 
@@ -265,8 +307,9 @@ def _rows(seen: dict[str, np.ndarray]) -> pd.DataFrame:
 def extract_text(pages: DataFrame, html: str = "html", url: str = "url", key: str = "page_id", limit: int = BROADCAST_BYTES) -> DataFrame:
     """One row per row of ``pages``: ``key``, ``url``, text, n_chars and n_template (text nodes left out as constant).
 
-    Null html counts as empty; its text is empty. A null url is a host of its own. Pages without article or
-    main element give the text of the whole page without the marked parts. Repeated rows repeat.
+    Null html counts as empty; its text is empty. A null url is a host of its own. Pages of hosts with
+    too few pages give the text of their article or main element, or without one that of the whole page, without
+    the marked parts. Repeated rows repeat.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit("")))
     rows = pages.select(F.col(key).alias("_id"), F.col(url).alias("_url"), host.alias("_host"), F.coalesce(F.col(html), F.lit("")).alias("_html"))
@@ -282,7 +325,7 @@ def extract_text(pages: DataFrame, html: str = "html", url: str = "url", key: st
                 if template is not None and len(template):
                     constant = set(map(int, template))
                     out = {a.number for a, b in align(root, _exemplar(model)[0]) if b.number in constant and a.text == b.text}
-                texts.append(main_text(root, out))
+                texts.append(main_text(root, out, template is not None))
                 left.append(len(out))
             yield pd.DataFrame({"_id": batch["_id"], "_url": batch["_url"], "text": texts, "n_chars": [len(t) for t in texts], "n_template": left})
 
