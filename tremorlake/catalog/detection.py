@@ -7,6 +7,7 @@ from ..operators.clean import in_bucket
 from ..operators.kmeans import cluster_rarity
 from ..operators.keyed import anomaly_overlay
 from ..operators.slices import in_slices
+from ..plans import asof_join, merge_intervals
 from ..streaming.scoring import Scorer, flat_loss, score_batch
 from ..operators.normalize import fit_scaler
 from .registry import event_block, events, query, with_day
@@ -117,6 +118,77 @@ def normal_slices_by_device(spark, d):
     return in_slices(df, slices, "ts", "user_id").select("event_id", "user_id", "value")
 
 
+_INCIDENTS = """SELECT user_id, ts - INTERVAL 20 MINUTE AS slice_start, ts + to_minutes(CAST(5 + event_id % 90 AS INTEGER)) AS slice_end
+                FROM events WHERE event_type = 'error'"""
+_IN_INCIDENT = f"""SELECT e.event_id, e.user_id, e.value FROM events e
+                   WHERE EXISTS (SELECT 1 FROM ({_INCIDENTS}) s
+                                 WHERE s.user_id = e.user_id AND e.ts BETWEEN s.slice_start AND s.slice_end)"""
+
+
+def incidents(spark, d):
+    """Many short, overlapping slices a day: from 20 minutes before each error to some time after it."""
+    minutes = F.make_dt_interval(F.lit(0), F.lit(0), (5 + F.col("event_id") % 90).cast("int"))
+    return events(spark, d).filter("event_type = 'error'").select(
+        "user_id", (F.col("ts") - F.expr("interval 20 minutes")).alias("slice_start"), (F.col("ts") + minutes).alias("slice_end")
+    )
+
+
+@query("incident_slices", _IN_INCIDENT)
+def incident_slices(spark, d):
+    """Readings of a device around its errors; the merged slices are broadcast."""
+    df = events(spark, d).select("event_id", "user_id", "ts", "value")
+    return in_slices(df, incidents(spark, d), "ts", "user_id").select("event_id", "user_id", "value")
+
+
+@query("incident_slices_sorted", _IN_INCIDENT)
+def incident_slices_sorted(spark, d):
+    """The same with slices too many to broadcast, sorted together with the readings."""
+    df = events(spark, d).select("event_id", "user_id", "ts", "value")
+    return in_slices(df, incidents(spark, d), "ts", "user_id", limit=0).select("event_id", "user_id", "value")
+
+
+@query(
+    "merged_slices",
+    f"""WITH s AS ({_INCIDENTS}),
+        r AS (SELECT *, max(slice_end) OVER (PARTITION BY user_id ORDER BY slice_start, slice_end
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s),
+        i AS (SELECT *, sum(CASE WHEN reach IS NULL OR reach < slice_start THEN 1 ELSE 0 END)
+                        OVER (PARTITION BY user_id ORDER BY slice_start, slice_end ROWS UNBOUNDED PRECEDING) AS island FROM r)
+        SELECT user_id, epoch_us(min(slice_start)) AS slice_start, epoch_us(max(slice_end)) AS slice_end
+        FROM i GROUP BY user_id, island""",
+)
+def merged_slices(spark, d):
+    merged = merge_intervals(incidents(spark, d), ["user_id"], "slice_start", "slice_end")
+    micros = [F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in ("slice_start", "slice_end")]
+    return merged.select("user_id", *micros)
+
+
+_LAST_ERROR = """SELECT a.event_id, a.user_id, b.event_id AS error_id, b.value AS error_value
+                 FROM events a ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value
+                                               FROM events WHERE event_type = 'error' GROUP BY ALL) b
+                 ON a.user_id = b.user_id AND a.ts >= b.ts"""
+
+
+def last_error(spark, d, **options):
+    df = events(spark, d)
+    errors = df.filter("event_type = 'error'").select(
+        "user_id", F.col("ts").alias("error_ts"), F.col("event_id").alias("error_id"), F.col("value").alias("error_value")
+    )
+    rows = df.select("event_id", "user_id", "ts")
+    return asof_join(rows, errors, ["user_id"], "ts", "error_ts", ["error_id", "error_value"], **options).drop("ts")
+
+
+@query("last_error", _LAST_ERROR)
+def last_error_broadcast(spark, d):
+    """Each reading with the last error of its device up to then."""
+    return last_error(spark, d)
+
+
+@query("last_error_sorted", _LAST_ERROR)
+def last_error_sorted(spark, d):
+    return last_error(spark, d, limit=0)
+
+
 @query(
     "normal_bucket",
     "SELECT event_id, user_id, value FROM events WHERE CAST(round(value, 0) AS BIGINT) = 7",

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import write_scratch
-from ..plans.joins import BROADCAST_BYTES, measured_bytes
+from ..plans import asof_join, merge_intervals
+from ..plans.joins import BROADCAST_BYTES
 
 
 def in_slices(
@@ -14,30 +14,21 @@ def in_slices(
     slices: DataFrame,
     ts: str,
     device: str | None = None,
-    bucket_seconds: int = 86_400,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows with start <= ts <= end for some slice (of the same device); each row once.
 
-    ``slices`` has ``slice_start`` and ``slice_end`` (and ``device``). Slices are cut at bucket
-    borders, so both sides meet on the bucket number instead of comparing every pair. The cut
-    slices are broadcast if they measure under ``limit``.
+    ``slices`` has ``slice_start`` and ``slice_end`` (and ``device``), in any order and overlapping. They are
+    merged to disjoint ones, so the last that starts at or before a row is the only one that can hold it.
     """
     kind = df.schema[ts].dataType
-
-    def number(c):
-        return F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bucket_seconds)
-
+    keys = [device] if device else []
     cut = slices.select(
-        *([F.col(device).alias("_dev")] if device else []),
+        *[F.col(k).alias("_dev") for k in keys],
         F.col("slice_start").cast(kind).alias("_from"),
         F.col("slice_end").cast(kind).alias("_to"),
-    ).filter(F.col("_from") <= F.col("_to"))
-    cut = cut.select("*", F.explode(F.sequence(number("_from"), number("_to"))).alias("_sb"))
-    cut = write_scratch(cut, "slices")
-    match = (F.col("_b") == F.col("_sb")) & F.col(ts).between(F.col("_from"), F.col("_to"))
-    if device:
-        match = match & (F.col(device) == F.col("_dev"))
-    if measured_bytes(cut) <= limit:
-        cut = F.broadcast(cut)
-    return df.withColumn("_b", number(ts)).join(cut, match, "left_semi").drop("_b")
+    )
+    merged = merge_intervals(cut, ["_dev"] if device else [], "_from", "_to")
+    rows = df.withColumn("_dev", F.col(device)) if device else df
+    met = asof_join(rows, merged, ["_dev"] if device else [], ts, "_from", ["_to"], limit)
+    return met.filter(F.col("_to") >= F.col(ts)).select(*[F.col(f"`{c}`") for c in df.columns])

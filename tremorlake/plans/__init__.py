@@ -1,4 +1,5 @@
 from .frames import framed, with_halo
+from .intervals import asof_join, merge_intervals
 from .joins import attach, attach_scalar, join_series
 from .positions import running_total, with_position
 from .quantiles import exact_quantiles
@@ -6,12 +7,14 @@ from .scratch import clear_scratch, scratch_scope, write_scratch
 from .topk import top_k
 
 __all__ = [
+    "asof_join",
     "attach",
     "attach_scalar",
     "clear_scratch",
     "exact_quantiles",
     "framed",
     "join_series",
+    "merge_intervals",
     "running_total",
     "scratch_scope",
     "top_k",

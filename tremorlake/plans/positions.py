@@ -9,7 +9,7 @@ join and nothing broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,9 +27,13 @@ def running_total(
     weight: Column,
     out: str,
     block: Column | None = None,
+    fold: Callable[[str], Column] = F.sum,
 ) -> DataFrame:
     """Add ``out``: the total of ``weight`` over the rows that come before, per ``keys``.
 
+    ``fold`` may be another aggregate that combines with itself, such as ``F.max``; before the first row a
+    sum is 0, anything else NULL.
+
     ``order`` must be a total order within ``keys``. ``block`` is an expression that never
     decreases along ``order`` and of which each value covers a bounded number of rows of
     one key, such as ``index div 1048576`` for an index that is unique per device. Without
@@ -42,7 +46,7 @@ def running_total(
         rows = _sorted_blocks(rows, keys, order).drop(_ROW)
     else:
         rows = rows.withColumn(_BLOCK, block)
-    return _from_heads(rows, keys, order, out)
+    return _from_heads(rows, keys, order, out, fold)
 
 
 def _sorted_blocks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -54,12 +58,17 @@ def _sorted_blocks(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     )
 
 
-def _from_heads(rows: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+def _from_heads(
+    rows: DataFrame, keys: list[str], order: list[str], out: str, fold: Callable[[str], Column] = F.sum
+) -> DataFrame:
     along = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    before = fold("_t").over(along)
+    if fold is F.sum:
+        before = F.coalesce(before, F.lit(0).cast("double"))
     heads = (
         rows.groupBy(*keys, _BLOCK)
-        .agg(F.sum(_W).alias("_t"))
-        .withColumn(_W, F.coalesce(F.sum("_t").over(along), F.lit(0).cast("double")).cast(rows.schema[_W].dataType))
+        .agg(fold(_W).alias("_t"))
+        .withColumn(_W, before.cast(rows.schema[_W].dataType))
         .drop("_t")
         .withColumn(_HEAD, F.lit(True))
     )
@@ -71,7 +80,7 @@ def _from_heads(rows: DataFrame, keys: list[str], order: list[str], out: str) ->
     return (
         rows.withColumn(_HEAD, F.lit(False))
         .unionByName(heads, allowMissingColumns=True)
-        .withColumn(out, F.sum(_W).over(within))
+        .withColumn(out, fold(_W).over(within))
         .filter(~F.col(_HEAD))
         .drop(_BLOCK, _HEAD, _W)
     )
