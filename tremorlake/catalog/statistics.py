@@ -84,6 +84,42 @@ def top_k_per_device(spark, d):
     return stats.extremes(df, "l_extendedprice", 20, tie, by=["l_suppkey"], rank="rank").drop("l_shipdate")
 
 
+@query(
+    "top_5000_per_device",
+    """SELECT user_id, event_id, value, rank FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, event_id) AS rank FROM events)
+       WHERE rank <= 5000""",
+)
+def top_5000_per_device(spark, d):
+    df = events(spark, d).select("user_id", "event_id", "value")
+    return stats.extremes(df, "value", 5000, ["event_id"], by=["user_id"], rank="rank")
+
+
+@query(
+    "top_5000_per_flag",
+    """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice, rank FROM (
+         SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,
+                                      l_partkey, l_shipdate) AS rank FROM lineitem) WHERE rank <= 5000""",
+)
+def top_5000_per_flag(spark, d):
+    """Three groups, the largest of which holds half of all rows."""
+    cols = ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice"]
+    tie = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
+    df = table(spark, d, "lineitem").select(*cols)
+    out = stats.extremes(df, "l_extendedprice", 5000, tie, by=["l_returnflag"], rank="rank")
+    return out.drop("l_partkey", "l_shipdate")
+
+
+@query(
+    "lowest_2000",
+    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_quantity, l_orderkey, l_linenumber, l_partkey LIMIT 2000",
+)
+def lowest_2000(spark, d):
+    """Ties at the border: a 25th of all rows has the smallest quantity."""
+    df = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return stats.extremes(df, "l_quantity", 2000, ["l_orderkey", "l_linenumber", "l_partkey"], ascending=True).drop("l_partkey")
+
+
 @query(
     "mean_and_deviation",
     """SELECT event_type, round(avg(value), 6) AS mean_value, round(stddev_samp(value), 6) AS sd_value,

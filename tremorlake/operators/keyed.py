@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans import top_k, write_scratch
+from ..plans import write_scratch
+from .stats import extremes
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
@@ -101,8 +102,8 @@ def range_lookup(df: DataFrame, device: str, device_value, index: str, low, high
 def latest_n(df: DataFrame, device: str, index: str, n: int = 500, device_value=None) -> DataFrame:
     """The last ``n`` readings of one device, or of every device."""
     if device_value is not None:
-        return df.filter(F.col(device) == device_value).orderBy(F.desc(index)).limit(n)
-    return top_k(df, n, [F.desc(index)], [device])
+        return extremes(df.filter(F.col(device) == device_value), index, n, [])
+    return extremes(df, index, n, [], by=[device])
 
 
 def anomaly_overlay(df: DataFrame, label: str = "label") -> DataFrame:

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import round_to
-from ..plans import attach, exact_quantiles, top_k
+from ..plans import attach, exact_quantiles, top_k, top_k_threshold
+
+#: Rows per group that a map task may hold and send on.
+SMALL_K = 1000
 
 
 def value_histogram(
@@ -42,7 +45,12 @@ def extremes(
     by: Sequence[str] = (),
     rank: str | None = None,
 ) -> DataFrame:
-    """The ``k`` largest (or smallest) readings, overall or per group; ties go by ``tie``."""
+    """The ``k`` largest (or smallest) readings, overall or per group; ties go by ``tie``.
+
+    Beyond ``SMALL_K`` rows a threshold on the values cuts each group before it is shuffled.
+    """
+    if k > SMALL_K:
+        return top_k_threshold(df, k, value, by, tie, not ascending, rank)
     first = F.asc_nulls_last(value) if ascending else F.desc_nulls_last(value)
     return top_k(df, k, [first, *[F.asc(t) for t in tie]], by, rank)
 

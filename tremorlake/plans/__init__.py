@@ -4,7 +4,7 @@ from .joins import attach, attach_scalar, join_series
 from .positions import running_total, with_position
 from .quantiles import exact_quantiles
 from .scratch import clear_scratch, scratch_scope, write_scratch
-from .topk import top_k
+from .topk import top_k, top_k_threshold
 
 __all__ = [
     "asof_join",
@@ -18,6 +18,7 @@ __all__ = [
     "running_total",
     "scratch_scope",
     "top_k",
+    "top_k_threshold",
     "with_halo",
     "with_position",
     "write_scratch",
