@@ -6,6 +6,7 @@ from ..operators import keyed, stats
 from ..operators.clean import time_range
 from ..plans import attach_scalar
 from ..plans.scratch import scratch_path
+from ..sources.bucketed import BucketedTable
 from .registry import events, query, table
 
 
@@ -251,6 +252,25 @@ def keyed_log(spark, d):
     return state.select("user_id", "event_id", "value")
 
 
+@query(
+    "bucketed_upserts",
+    """SELECT user_id, day, arg_max(value, event_id) AS value, max(event_id) AS event_id
+       FROM (SELECT *, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day FROM events) GROUP BY user_id, day""",
+)
+def bucketed_upserts(spark, d):
+    """The newest reading per device and day from a bucketed table: four batches, the second made the base, the third
+    replayed, and the last delivered before it."""
+    df = events(spark, d).select("user_id", F.date_format("ts", "yyyyMMdd").cast("int").alias("day"), "value", "event_id")
+    store = BucketedTable(spark, scratch_path(spark, "bucketed"), df.schema, ["user_id", "day"], "event_id", buckets=8)
+    parts = [df.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == i) for i in range(4)]
+    store.append(parts[3], 0)
+    store.append(parts[1], 1)
+    store.compact()
+    for batch, part in ((2, parts[0]), (2, parts[2]), (3, parts[0]), (1, parts[3])):
+        store.append(part, batch)
+    return store.read()
+
+
 @query(
     "latest_n",
     """SELECT user_id, event_id, value FROM (

@@ -8,22 +8,56 @@ newest version of each key; ``compact`` does it once for all.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans import write_scratch
 from .stats import extremes
 
 
+#: Types that a hash aggregate can hold in place.
+_FIXED = (T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _one_order(df: DataFrame, version: Sequence[str]) -> Column | None:
+    """Up to two whole numbers or times as one number that orders alike, NULL being the smallest."""
+    parts = []
+    for c in version:
+        kind = df.schema[c].dataType
+        if isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
+            parts.append(F.unix_micros(F.col(c).cast("timestamp")))
+        elif isinstance(kind, T.IntegralType):
+            parts.append(F.col(c))
+        else:
+            return None
+    # A long has 19 digits, and the smallest is no value that anything counts up to.
+    longs = [F.coalesce(p.cast("bigint"), F.lit(-(1 << 63))) for p in parts]
+    if len(longs) == 1:
+        return longs[0]
+    if len(longs) != 2:
+        return None
+    shift = F.lit(Decimal(10**19)).cast("decimal(20,0)")
+    return (longs[0].cast("decimal(19,0)") * shift + longs[1].cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def latest_version(df: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """The newest row of each key: an aggregate, so copies of a hot key meet map-side."""
+    """The newest row of each key: an aggregate, so copies of a hot key meet map-side.
+
+    Where the version is one or two whole numbers or times and the other columns have a fixed width, it is a hash
+    aggregate, and nothing is sorted.
+    """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.struct(*version)) if rest else None
-    if newest is None:
+    if not rest:
         return df.distinct()
-    out = df.groupBy(*keys).agg(newest.alias("_row"))
+    order = _one_order(df, version)
+    if order is not None and all(isinstance(df.schema[c].dataType, _FIXED) for c in rest):
+        newest = df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in rest])
+        return newest.select(*df.columns)
+    out = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_row"))
     return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
@@ -38,6 +72,21 @@ def upsert(
     return latest_version(both, keys, [*version, "_src"]).drop("_src")
 
 
+def merge_newer(base: DataFrame, updates: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """One row per key of two tables that have one row per key: the higher version, or the update at equal ones.
+
+    The sides meet by a hash join on the keys, which are never NULL. A side that is dealt by the keys already, as a
+    bucketed table is, is neither shuffled nor sorted.
+    """
+    columns = base.columns
+    old = base.select(*[F.col(c).alias(f"_o_{c}") for c in columns], F.lit(True).alias("_old"))
+    new = updates.select(*[F.col(c).alias(f"_n_{c}") for c in columns], F.lit(True).alias("_new"))
+    same = [F.col(f"_o_{k}") == F.col(f"_n_{k}") for k in keys]
+    both = old.join(new.hint("shuffle_hash"), same, "full_outer")
+    stays = F.col("_new").isNull() | (F.col("_old").isNotNull() & (F.col(f"_o_{version}") > F.col(f"_n_{version}")))
+    return both.select(*[F.when(stays, F.col(f"_o_{c}")).otherwise(F.col(f"_n_{c}")).alias(c) for c in columns])
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch of the log; a second write of the same batch replaces the first."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")

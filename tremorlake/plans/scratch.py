@@ -49,6 +49,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, none if it does not exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
