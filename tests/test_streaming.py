@@ -26,7 +26,7 @@ from tremorlake.streaming.scoring import (
     read_scored,
     score_batch,
 )
-from tremorlake.streaming.stateful import score_ordered, use_rocksdb
+from tremorlake.streaming.stateful import OrderedScorer, score_ordered, use_rocksdb
 
 
 def message(device, index, x="1.5", ts="2018-07-09 12:00:00"):
@@ -198,3 +198,88 @@ def test_stateful_scoring_in_index_order(spark, tmp_path):
     scored = score_ordered(stream, MeanModel(), "device_id", "index", "ts", "z", "5 seconds", threshold=0.6)
     _, got = finish(scored, spark, tmp_path, "stateful")
     assert rounded(got) == want
+
+
+class FakeState:
+    """The state of one device in memory, counting what is written."""
+
+    def __init__(self):
+        self.map, self.value, self.timers, self.writes = {}, None, set(), []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def keys(self):
+        return iter(list(self.map))
+
+    def getValue(self, key):
+        return self.map[key]
+
+    def updateValue(self, key, value):
+        self.writes.append(key[0])
+        self.map[key] = value
+
+    def removeKey(self, key):
+        del self.map[key]
+
+    def registerTimer(self, at):
+        assert at not in self.timers
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+@pytest.mark.parametrize("bucket", [1, 7, 1000])
+def test_only_changed_buckets_are_written(bucket):
+    class Mean:
+        def reconstruct(self, x):
+            return np.repeat(x.mean(axis=1, keepdims=True), x.shape[1], axis=1)
+
+    class Clock:
+        mark = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.mark
+
+    import pandas as pd
+
+    rng = np.random.default_rng(bucket)
+    values = rng.normal(size=400)
+    state, clock = FakeState(), Clock()
+    scorer = OrderedScorer(Mean(), "d", 0.5, 3, 5, bucket)
+    scorer.init(state)
+    got = []
+    for start in range(0, 400, 40):
+        rows = np.arange(start, start + 40)
+        rng.shuffle(rows)
+        before, state.writes = dict(state.map), []
+        got += list(scorer.handleInputRows(("x",), iter([pd.DataFrame({"idx": rows, "at": rows * 3, "val": values[rows]})]), clock))
+        brought = {r * 3 // bucket for r in rows}
+        border = {clock.mark // bucket}
+        assert set(state.writes) <= brought | border
+        assert all(state.map[k] is v for k, v in before.items() if k in state.map and k[0] not in brought | border)
+        assert state.timers == {v[0] + 1 for v in state.map.values()}  # one timer per bucket
+        clock.mark = start * 3
+        for timer in sorted(t for t in state.timers if t <= clock.mark):
+            got += list(scorer.handleExpiredTimer(("x",), clock, timer))
+    clock.mark = 10_000
+    got += list(scorer.handleExpiredTimer(("x",), clock, 0))
+    assert not state.map and not state.timers
+    out = pd.concat(got)
+    mean = np.convolve(values, np.ones(3) / 3, "valid")
+    windows = np.lib.stride_tricks.sliding_window_view(mean, 5)[:-1]
+    assert out["index"].tolist() == list(range(7, 400))
+    assert np.allclose(out["loss"], np.abs(windows - windows.mean(axis=1, keepdims=True)).mean(axis=1))

@@ -141,7 +141,9 @@ def stream_scores_stateful(spark, d):
     try:
         rows = event_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
         z = apply_scaler(rows, fit_scaler(events(spark, d), "value"), "value", out="z", digits=None)
-        scored = score_ordered(z, MeanReconstructor(), "user_id", "event_id", "ts", "z", "1 day", threshold=0.5)
+        scored = score_ordered(
+            z, MeanReconstructor(), "user_id", "event_id", "ts", "z", "1 day", threshold=0.5, bucket_seconds=86_400
+        )
         out = run_to_table(spark, scored, "stateful")
     finally:
         spark.conf.set(key, before) if before else spark.conf.unset(key)

@@ -25,36 +25,66 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 class OrderedScorer(StatefulProcessor):
-    def __init__(self, model, device: str, threshold: float, smooth: int, steps: int):
+    """Waiting readings lie in a map from time bucket to readings, with one timer per bucket.
+
+    A batch rewrites the buckets that it brings readings for, and a release takes those that the watermark has
+    reached; no other bucket is read or written, however many wait.
+    """
+
+    def __init__(self, model, device: str, threshold: float, smooth: int, steps: int, bucket_ms: int):
         self.model, self.device, self.threshold = model, device, threshold
-        self.smooth, self.steps = smooth, steps
+        self.smooth, self.steps, self.bucket_ms = smooth, steps, bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.tail = handle.getValueState("tail", "last bigint, vals array<double>")
-        self.waiting = handle.getListState("waiting", "idx bigint, at bigint, val double")
+        self.waiting = handle.getMapState(
+            "waiting", "bucket bigint", "first bigint, idx array<bigint>, at array<bigint>, val array<double>"
+        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            self.waiting.appendList(
-                [(int(i), int(t), float(v)) for i, t, v in zip(pdf["idx"], pdf["at"], pdf["val"])]
-            )
-        yield self._release(key, timerValues)
+        come = pd.concat([p[["idx", "at", "val"]] for p in rows])
+        known = {k[0] for k in self.waiting.keys()}
+        for bucket, part in come.groupby(come["at"] // self.bucket_ms):
+            held = self.waiting.getValue((int(bucket),)) if bucket in known else None
+            self._put(int(bucket), held, self._rows(part["idx"], part["at"], part["val"]))
+            known.add(int(bucket))
+        yield self._release(key, timerValues, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._release(key, timerValues)
-
-    def _release(self, key, timerValues) -> pd.DataFrame:
+        yield self._release(key, timerValues, {k[0] for k in self.waiting.keys()})
+
+    @staticmethod
+    def _rows(idx, at, val) -> list[tuple[int, int, float]]:
+        return [(int(i), int(t), float(v)) for i, t, v in zip(idx, at, val)]
+
+    def _put(self, bucket: int, held, rows: list[tuple[int, int, float]]) -> None:
+        """Add rows to what a bucket holds; its timer is that of its first reading."""
+        before = held[0] if held else None
+        rows = (self._rows(*held[1:]) if held else []) + rows
+        first = min(r[1] for r in rows)
+        if first != before:
+            if held:
+                self.handle.deleteTimer(before + 1)
+            self.handle.registerTimer(first + 1)
+        self.waiting.updateValue((bucket,), (first, *map(list, zip(*rows))))
+
+    def _release(self, key, timerValues, known: set[int]) -> pd.DataFrame:
         mark = timerValues.getCurrentWatermarkInMs()
-        held = list(self.waiting.get())
-        ready = sorted(r for r in held if r[1] <= mark)
-        rest = [r for r in held if r[1] > mark]
-        self.waiting.put(rest) if rest else self.waiting.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if rest:
-            self.handle.registerTimer(min(r[1] for r in rest) + 1)
-        return self._score(key, ready)
+        ready = []
+        for bucket in sorted(b for b in known if b * self.bucket_ms <= mark):
+            held = self.waiting.getValue((bucket,))
+            if held[0] > mark:
+                continue
+            rows = self._rows(*held[1:])
+            rest = [r for r in rows if r[1] > mark]
+            ready += [r for r in rows if r[1] <= mark]
+            self.handle.deleteTimer(held[0] + 1)
+            if rest:  # only the bucket that the watermark lies in
+                self._put(bucket, None, rest)
+            else:
+                self.waiting.removeKey((bucket,))
+        return self._score(key, sorted(ready))
 
     def _score(self, key, ready) -> pd.DataFrame:
         context = self.smooth - 1 + self.steps
@@ -101,17 +131,19 @@ def score_ordered(
     threshold: float = 1.5,
     smooth: int = 3,
     steps: int = 5,
+    bucket_seconds: float = 30.0,
 ) -> DataFrame:
     """Losses and labels of a stream of standardised readings, in index order per device.
 
-    ``model`` has ``reconstruct(matrix) -> matrix`` over windows of ``steps`` values.
+    ``model`` has ``reconstruct(matrix) -> matrix`` over windows of ``steps`` values. Readings wait in buckets of
+    ``bucket_seconds``; about as long as what a batch brings per device is a good size. It changes no result.
     """
     kind = stream.schema[device].dataType.simpleString()
     rows = stream.withWatermark(ts, delay).selectExpr(
         f"`{device}`", f"`{ts}`", f"`{index}` as idx", f"unix_millis(`{ts}`) as at", f"`{value}` as val"
     )
     return rows.groupBy(device).transformWithStateInPandas(
-        statefulProcessor=OrderedScorer(model, device, threshold, smooth, steps),
+        statefulProcessor=OrderedScorer(model, device, threshold, smooth, steps, int(bucket_seconds * 1000)),
         outputStructType=f"`{device}` {kind}, index bigint, loss double, label int",
         outputMode="Append",
         timeMode="EventTime",
