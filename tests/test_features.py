@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tremorlake.functions import ranges
 from tremorlake.operators import features as free
 from tremorlake.operators import ordered_features as ordered
 from tremorlake.operators import spectral_features as spectral
@@ -181,3 +182,26 @@ def test_no_series_is_lost(spark):
     assert len(got) == 3
     same = got[got["k"] != 2].drop(columns="k")
     assert np.allclose(same.iloc[0].astype(float).fillna(-1), same.iloc[1].astype(float).fillna(-1))
+
+
+def test_near_windows_by_sorting():
+    """Equal to comparing all pairs, also with ties, and without their growth."""
+    rng = np.random.default_rng(1)
+    for n in (ranges.ALL_PAIRS + 1, 900):
+        for width in (1, 2, 3, 4):
+            for points in (rng.normal(size=(n, width)), rng.integers(0, 9, (n, width)) * 0.1, np.zeros((n, width))):
+                for tolerance in (0.0, 0.1, 0.3, 2.0):
+                    assert (ranges.near_counts(points, tolerance) == ranges._all_pairs(points, tolerance)).all()
+
+
+def test_near_windows_grow_almost_in_proportion(monkeypatch):
+    """Elements looked up per window, up to 4,096 windows."""
+    seen = []
+    below = ranges._Ranks.below
+    monkeypatch.setattr(ranges._Ranks, "below", lambda self, lo, hi, v: seen.append(len(v) * len(self.levels)) or below(self, lo, hi, v))
+    each = []
+    for n in (1024, 2048, 4096):
+        seen.clear()
+        ranges.near_counts(np.lib.stride_tricks.sliding_window_view(np.random.default_rng(n).normal(size=n + 2), 3), 0.2)
+        each.append(sum(seen) / n)
+    assert each[2] < 2 * each[0]  # pairs would take four times as many

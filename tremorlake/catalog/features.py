@@ -290,8 +290,51 @@ def features_permutation_entropy(spark, d):
     return r6(spectral.permutation_entropy(positioned(spark, d, "value"), ["user_id"], "value"))
 
 
-@query("features_segments")
+_SEGMENTS = f"""
+WITH s AS (
+  SELECT l_suppkey, pos // 256 AS segment, pos % 256 AS j, v FROM (
+    SELECT l_suppkey, l_extendedprice AS v, row_number() OVER (
+             PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) - 1 AS pos FROM lineitem)
+), g AS (
+  SELECT l_suppkey, segment, count(*) AS n, stddev_pop(v) AS sd FROM s GROUP BY ALL
+), y AS (
+  SELECT s.l_suppkey, s.segment, k, sqrt(sum(v * cos(2 * pi() * (k * j % n) / n)) ** 2 + sum(v * sin(2 * pi() * (k * j % n) / n)) ** 2) AS y
+  FROM s JOIN g USING (l_suppkey, segment), range(0, 129) t(k) WHERE k <= n // 2 GROUP BY ALL
+), m AS (
+  SELECT l_suppkey, segment, sum(k * y) / sum(y) AS m1, sum(k ** 2 * y) / sum(y) AS m2, sum(k ** 3 * y) / sum(y) AS m3,
+         sum(k ** 4 * y) / sum(y) AS m4 FROM y GROUP BY ALL
+), f AS (
+  SELECT *, m2 - m1 ** 2 AS var FROM m
+), w AS (
+  SELECT s.*, n, sd, lead(v) OVER o AS v1, lead(v, 2) OVER o AS v2 FROM s JOIN g USING (l_suppkey, segment)
+  WINDOW o AS (PARTITION BY s.l_suppkey, s.segment ORDER BY j)
+), c AS (
+  SELECT a.l_suppkey, a.segment, a.j, any_value(a.n) AS n, any_value(a.v2) AS v2,
+         count(*) FILTER (abs(a.v - b.v) <= 0.5 * a.sd AND abs(a.v1 - b.v1) <= 0.5 * a.sd) AS c2,
+         count(*) FILTER (abs(a.v - b.v) <= 0.5 * a.sd AND abs(a.v1 - b.v1) <= 0.5 * a.sd AND abs(a.v2 - b.v2) <= 0.5 * a.sd) AS c3,
+         count(*) FILTER (b.v2 IS NOT NULL AND abs(a.v - b.v) <= 0.2 * a.sd AND abs(a.v1 - b.v1) <= 0.2 * a.sd) AS s2,
+         count(*) FILTER (abs(a.v - b.v) <= 0.2 * a.sd AND abs(a.v1 - b.v1) <= 0.2 * a.sd AND abs(a.v2 - b.v2) <= 0.2 * a.sd) AS s3
+  FROM w a JOIN w b ON a.l_suppkey = b.l_suppkey AND a.segment = b.segment
+  WHERE a.v1 IS NOT NULL AND b.v1 IS NOT NULL GROUP BY ALL
+), e AS (
+  SELECT l_suppkey, segment, abs(avg(ln(c2 / (n - 1))) - avg(ln(c3 / (n - 2))) FILTER (v2 IS NOT NULL)) AS apen,
+         sum(s2 - 1) FILTER (v2 IS NOT NULL) AS near2, sum(s3 - 1) FILTER (v2 IS NOT NULL) AS near3
+  FROM c GROUP BY ALL
+)
+SELECT l_suppkey, segment, n AS n_rows, round(m1, 4) AS fft_centroid, round(var, 4) AS fft_variance,
+       CASE WHEN var >= 0.5 THEN round((m3 - 3 * m1 * var - m1 ** 3) / var ** 1.5, 4) END AS fft_skew,
+       CASE WHEN var >= 0.5 THEN round((m4 - 4 * m1 * m3 + 6 * m2 * m1 ** 2 - 3 * m1 ** 4) / var ** 2, 4) END AS fft_kurtosis,
+       CASE WHEN n <= 3 THEN 0.0 ELSE round(apen, 6) END AS approximate_entropy,
+       CASE WHEN n > 3 AND near2 > 0 AND near3 > 0 THEN round(-ln(near3 / near2), 6) END AS sample_entropy
+FROM g LEFT JOIN f USING (l_suppkey, segment) LEFT JOIN e USING (l_suppkey, segment)"""
+
+
+@query("features_segments", _SEGMENTS)
 def features_segments(spark, d):
     """Spectral moments and entropies of each supplier's price series, in segments of 256 rows."""
     df = with_position(lines(spark, d), ["l_suppkey"], LINE_ORDER)
-    return spectral.segment_features(df, ["l_suppkey"], "l_extendedprice", 256)
+    out = spectral.segment_features(df, ["l_suppkey"], "l_extendedprice", 256)
+    digits = {c: 4 for c in ("fft_centroid", "fft_variance", "fft_skew", "fft_kurtosis")}
+    digits |= {"approximate_entropy": 6, "sample_entropy": 6}
+    known = {c: F.round(F.when(~F.isnan(c), F.col(c)), n) for c, n in digits.items()}
+    return out.select("l_suppkey", "segment", "n_rows", *[e.alias(c) for c, e in known.items()])

@@ -1,7 +1,7 @@
 """Correlation, trend, Fourier and entropy features.
 
 Whatever is a sum over rows stays a Spark aggregate for series of any length. Full spectra and
-pairwise entropies work on consecutive segments of bounded length, one array operation each.
+entropies work on consecutive segments of bounded length; near windows are counted by sorting, not by pairs.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ranges import near_counts
 from ..plans import attach, framed
 from ..plans.frames import CHUNK_ROWS, chunk_of
 
@@ -208,25 +209,13 @@ def _embedded(x: np.ndarray, m: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(x, m)
 
 
-def _near(w: np.ndarray, tolerance: float) -> np.ndarray:
-    """Per window, how many windows (itself included) are within the tolerance everywhere."""
-    step = max(1, 1_000_000 // max(len(w), 1))
-    counts = np.zeros(len(w), dtype=int)
-    for at in range(0, len(w), step):
-        near = np.ones((len(w[at : at + step]), len(w)), dtype=bool)
-        for column in w.T:
-            near &= np.abs(column[at : at + step, None] - column[None, :]) <= tolerance
-        counts[at : at + step] = near.sum(axis=1)
-    return counts
-
-
 def _approximate_entropy(x: np.ndarray, m: int, r: float) -> float:
     if len(x) <= m + 1:
         return 0.0
     tolerance = r * x.std()
 
     def phi(size: int) -> float:
-        c = _near(_embedded(x, size), tolerance) / (len(x) - size + 1)
+        c = near_counts(_embedded(x, size), tolerance) / (len(x) - size + 1)
         return float(np.log(c).mean())
 
     return abs(phi(m) - phi(m + 1))
@@ -236,8 +225,8 @@ def _sample_entropy(x: np.ndarray, m: int = 2) -> float:
     if len(x) <= m + 1:
         return float("nan")
     tolerance = 0.2 * x.std()
-    b = (_near(_embedded(x, m)[:-1], tolerance) - 1).sum()
-    a = (_near(_embedded(x, m + 1), tolerance) - 1).sum()
+    b = (near_counts(_embedded(x, m)[:-1], tolerance) - 1).sum()
+    a = (near_counts(_embedded(x, m + 1), tolerance) - 1).sum()
     return float(-np.log(a / b)) if a > 0 and b > 0 else float("nan")
 
 
