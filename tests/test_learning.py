@@ -6,11 +6,14 @@ from tremorlake.operators.autoencoder import DenseAutoencoder, LstmAutoencoder,
 from tremorlake.operators.iforest import (
     draw_samples,
     fit_forest,
+    fit_predict_forest,
+    grow_forest,
     grow_tree,
     load_forest,
     mean_path,
     predict_forest,
     save_forest,
+    score_forest,
 )
 from tremorlake.operators.kmeans import assign_clusters, centres, fit_kmeans, kmeans_anomalies, silhouette
 from tremorlake.operators.reconstruct import (
@@ -68,10 +71,37 @@ def test_every_tree_draws_from_all_rows(spark, n):
 
 
 def test_tree_of_equal_rows_is_a_leaf():
-    assert len(grow_tree(np.ones((50, 2)), 5, np.random.default_rng(0))) == 1
+    assert len(grow_tree(np.ones((50, 2)), 5, 1)) == 1
     assert mean_path(1) == 0 and mean_path(2) == 1 and abs(mean_path(256) - 10.244) < 1e-2
 
 
+def test_a_compiled_forest_equals_the_walked_node_table(spark, planted):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(v) for v in rng.normal(size=3)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "i bigint, x array<double>")
+    for depth in (0, 1, 4):
+        nodes = grow_forest(df, "x", ["i"], trees=7, sample_rows=32, max_depth=depth)
+        got = score_forest(score_forest(df, nodes, "x", 32, "a"), nodes, "x", 32, "b", compiled_nodes=0)
+        assert all(abs(r.a - r.b) < 1e-12 for r in got.collect())
+        assert "ArrowEvalPython" not in score_forest(df, nodes, "x", 32)._jdf.queryExecution().executedPlan().toString()
+    # Each node's rows are those of its children, and the leaves share out the sample.
+    by_tree = nodes.toPandas().groupby("tree")
+    for _, t in by_tree:
+        t = t.set_index("node")
+        inner = t[t["feature"] >= 0]
+        assert all(r["size"] == t.loc[r["lower"], "size"] + t.loc[r["upper"], "size"] for _, r in inner.iterrows())
+        assert t[t["feature"] < 0]["size"].sum() == 32
+
+
+def test_scores_and_labels_of_the_training_rows(planted):
+    df = planted.select("i", "v").withColumn("x", F.array("v"))
+    out, forest = fit_predict_forest(df, "x", ["i"], trees=10)
+    assert out.columns == ["i", "v", "x", "score", "prediction"] and out.count() == df.count()
+    assert found(out, "prediction") == found(predict_forest(df, forest, "x"), "prediction")
+    nothing, _ = fit_predict_forest(df.limit(0), "x", ["i"], trees=3)
+    assert nothing.count() == 0
+
+
 def test_loss_and_labels(spark):
     df = spark.createDataFrame([([1.0, 2.0], [1.0, 4.0])], "a array<double>, b array<double>")
     assert df.select(mean_abs_loss("a", "b")).first()[0] == 1.0

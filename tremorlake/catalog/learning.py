@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from ..operators.autoencoder import DenseAutoencoder, LstmAutoencoder, train
-from ..operators.iforest import fit_forest, predict_forest
+from ..operators.iforest import fit_forest, fit_predict_forest, load_forest, predict_forest, save_forest
 from ..operators.kmeans import assign_clusters, centres, cluster_rarity, fit_kmeans, kmeans_anomalies, silhouette
 from ..operators.normalize import znorm
 from ..operators.reconstruct import fit_linear, label_losses, reconstruction_loss
 from ..operators.smooth import moving_average, smoothed_windows
 from ..operators.stats import percentile_threshold
 from ..plans import attach_scalar, write_scratch
+from ..plans.scratch import scratch_path
 from .registry import events, query, table, with_day
 from .windows import positioned
 
@@ -21,6 +22,13 @@ def smoothed(spark, d):
     return df.select("event_id", "user_id", "zscale", F.round("moving_average", 0).alias("zround"))
 
 
+#: The same in SQL.
+_SMOOTHED = """
+    SELECT event_id, user_id, zscale, round(avg(zscale) OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id
+                                             ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING), 0) AS zround
+    FROM (SELECT event_id, user_id, ts, round((value - avg(value) OVER ()) / stddev_samp(value) OVER (), 6) AS zscale FROM events)"""
+
+
 @query("kmeans_anomalies")
 def kmeans_events(spark, d):
     return kmeans_anomalies(write_scratch(smoothed(spark, d), "smoothed"), ["zscale", "zround"])
@@ -51,19 +59,87 @@ def kmeans_embeddings(spark, d):
     return out.select("vec_id", "prediction", "score", "anomaly")
 
 
-@query("iforest_anomalies")
+_C = "CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+
+
+def _unit_sql(text):
+    return f"CAST('0x' || md5({text})[1:12] AS BIGINT) / 281474976710656.0"
+
+
+def _forest_sql(x, key, trees=100, rows=256, seed=43):
+    """A forest of depth 2 over one feature ``x`` (event_id, x), grown and walked in SQL: sample, root, children, leaves."""
+    return f"""
+    x AS MATERIALIZED ({x}), n AS (SELECT count(*) AS n FROM x),
+    few AS (SELECT tree, x, row_number() OVER (PARTITION BY tree ORDER BY t, {key}) AS r FROM (
+              SELECT *, {_unit_sql(f"concat_ws(':', {seed}, tree, {key})")} AS t FROM x, range(0, {trees}) k(tree)
+              WHERE (SELECT n FROM n) <= {trees * rows})),
+    many AS (SELECT (row_number() OVER (ORDER BY t, {key}) - 1) AS turn, x FROM (
+               SELECT *, {_unit_sql(f"concat_ws(':', {seed}, {key})")} AS t FROM x WHERE (SELECT n FROM n) > {trees * rows})),
+    drawn AS (SELECT tree, x FROM few WHERE r <= {rows}
+              UNION ALL SELECT turn % {trees}, x FROM many WHERE turn < {trees * rows}),
+    d0 AS (SELECT tree, 1 AS node, x FROM drawn),
+    n0 AS (SELECT tree, node, count(*) AS size, min(x) + {_unit_sql(f"concat_ws(':', {seed}, tree, node, 'cut')")} * (max(x) - min(x)) AS cut,
+                  max(x) > min(x) AS splits FROM d0 GROUP BY tree, node),
+    d1 AS (SELECT tree, CASE WHEN x < cut THEN 2 * node ELSE 2 * node + 1 END AS node, x FROM d0 JOIN n0 USING (tree, node) WHERE splits),
+    n1 AS (SELECT tree, node, count(*) AS size, min(x) + {_unit_sql(f"concat_ws(':', {seed}, tree, node, 'cut')")} * (max(x) - min(x)) AS cut,
+                  max(x) > min(x) AS splits FROM d1 GROUP BY tree, node),
+    d2 AS (SELECT tree, CASE WHEN x < cut THEN 2 * node ELSE 2 * node + 1 END AS node, x FROM d1 JOIN n1 USING (tree, node) WHERE splits),
+    n2 AS (SELECT tree, node, count(*) AS size FROM d2 GROUP BY tree, node),
+    v AS (SELECT DISTINCT x FROM x),
+    p AS (SELECT v.x, n0.tree,
+                 CASE WHEN NOT n0.splits THEN {_C.format(n="n0.size")}
+                      WHEN NOT n1.splits THEN 1 + {_C.format(n="n1.size")}
+                      ELSE 2 + {_C.format(n="n2.size")} END AS h
+          FROM v CROSS JOIN n0
+          LEFT JOIN n1 ON n1.tree = n0.tree AND n1.node = CASE WHEN v.x < n0.cut THEN 2 ELSE 3 END
+          LEFT JOIN n2 ON n2.tree = n0.tree AND n2.node = 2 * n1.node + CASE WHEN v.x < n1.cut THEN 0 ELSE 1 END),
+    psi AS (SELECT max(size) AS psi FROM n0),
+    s AS (SELECT x, round(pow(2.0, -avg(h) / any_value({_C.format(n="psi")})), 9) AS score FROM p, psi GROUP BY x),
+    scored AS (SELECT x.*, score FROM x JOIN s USING (x)),
+    q AS (SELECT quantile_disc(score, 0.985) AS q FROM scored)"""
+
+
+@query(
+    "iforest_anomalies",
+    f"""WITH {_forest_sql(f"SELECT event_id, zround AS x FROM ({_SMOOTHED})", "event_id")}
+        SELECT event_id, round(score, 6) AS score, CAST(score > q AS DOUBLE) AS prediction FROM scored, q""",
+)
 def iforest_events(spark, d):
-    df = smoothed(spark, d).select("event_id", F.array("zround").alias("x"))
-    df = write_scratch(df, "smoothed")
-    forest = fit_forest(df, "x", ["event_id"])
-    return predict_forest(df, forest, "x").select("event_id", "score", "prediction")
+    df = write_scratch(smoothed(spark, d).select("event_id", F.array("zround").alias("x")), "smoothed")
+    out, _ = fit_predict_forest(df, "x", ["event_id"])
+    return out.select("event_id", F.round("score", 6).alias("score"), "prediction")
+
+
+@query(
+    "iforest_stored",
+    f"""WITH {_forest_sql("SELECT event_id, value AS x FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'", "event_id", trees=20)},
+        walked AS (SELECT event_id, value, tree,
+                     CASE WHEN NOT n0.splits THEN {_C.format(n="n0.size")}
+                          WHEN NOT n1.splits THEN 1 + {_C.format(n="n1.size")}
+                          ELSE 2 + {_C.format(n="n2.size")} END AS h
+                   FROM (SELECT event_id, value, n0.* FROM events CROSS JOIN n0) n0
+                   LEFT JOIN n1 USING (tree) LEFT JOIN n2 USING (tree)
+                   WHERE (n1.node IS NULL OR n1.node = CASE WHEN value < n0.cut THEN 2 ELSE 3 END)
+                     AND (n2.node IS NULL OR NOT n1.splits OR n2.node = 2 * n1.node + CASE WHEN value < n1.cut THEN 0 ELSE 1 END)),
+        final AS (SELECT event_id, round(pow(2.0, -avg(h) / any_value({_C.format(n="psi")})), 9) AS score
+                  FROM (SELECT DISTINCT event_id, tree, h FROM walked), psi GROUP BY event_id)
+        SELECT event_id, round(score, 6) AS score, CAST(score > q AS DOUBLE) AS prediction FROM final, q""",
+)
+def iforest_stored(spark, d):
+    """A forest of the first half, stored, loaded, and applied to all readings by its stored threshold."""
+    df = events(spark, d).select("event_id", "ts", F.array("value").alias("x"))
+    path = scratch_path(spark, "forest")
+    first = df.filter(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    save_forest(fit_forest(first, "x", ["event_id"], trees=20), path)
+    out = predict_forest(df, load_forest(spark, path), "x")
+    return out.select("event_id", F.round("score", 6).alias("score"), "prediction")
 
 
 @query("iforest_embeddings")
 def iforest_embeddings(spark, d):
     df = table(spark, d, "embeddings").select("vec_id", "embedding")
-    forest = fit_forest(df, "embedding", ["vec_id"], max_depth=8)
-    return predict_forest(df, forest, "embedding").select("vec_id", "score", "prediction")
+    out, _ = fit_predict_forest(df, "embedding", ["vec_id"], max_depth=8)
+    return out.select("vec_id", "score", "prediction")
 
 
 def event_windows(spark, d):
