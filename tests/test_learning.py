@@ -20,8 +20,10 @@ from tremorlake.operators.reconstruct import (
     anomalies,
     fit_linear,
     label_losses,
+    load_linear,
     mean_abs_loss,
     reconstruction_loss,
+    save_linear,
 )
 
 
@@ -119,6 +121,35 @@ def test_linear_reconstruction_finds_an_odd_window(spark):
     assert out.orderBy(F.desc("loss")).first()["i"] == 77
 
 
+def test_linear_model_in_one_pass(spark, tmp_path):
+    """Far from zero, unevenly dealt, with windows to leave out; against numpy, stored and compiled."""
+
+    class Plain:  # a model that is not known to be linear
+        def __init__(self, model):
+            self.reconstruct = model.reconstruct
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4)) + 1e6
+    rows = [(i, [float(v) for v in w]) for i, w in enumerate(x)]
+    df = spark.createDataFrame(rows + [(-1, None)], "i int, w array<double>").repartition(7, "i")
+    model = fit_linear(df, "w", 2)
+    _, vectors = np.linalg.eigh(np.cov(x.T, ddof=0))
+    project = vectors[:, -2:] @ vectors[:, -2:].T
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.components @ model.components.T, project, atol=1e-6)
+    save_linear(spark, model, str(tmp_path / "m"))
+    again = load_linear(spark, str(tmp_path / "m"))
+    assert np.array_equal(again.mean, model.mean) and np.array_equal(again.components, model.components)
+    want = np.abs(model.reconstruct(x) - x).mean(axis=1)
+    native = reconstruction_loss(df, again, "w")
+    assert "ArrowEvalPython" not in native._jdf.queryExecution().executedPlan().toString()
+    for out in (native, reconstruction_loss(df, Plain(again), "w")):
+        got = {r.i: r.loss for r in out.collect()}
+        assert got.pop(-1) is None and np.allclose([got[i] for i in range(400)], want, atol=1e-6)
+    assert label_losses(native, "deployed_window").select("threshold").distinct().collect()[0][0] == 1.5
+    with pytest.raises(ValueError):
+        fit_linear(df.limit(0), "w", 2)
+
+
 @pytest.mark.parametrize("model", [DenseAutoencoder(sizes=(5, 7, 3, 5)), LstmAutoencoder(units=4, dropout=0.0)])
 def test_gradients_against_differences(model):
     rng = np.random.default_rng(0)

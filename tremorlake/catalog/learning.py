@@ -5,13 +5,16 @@ from pyspark.sql import functions as F
 from ..operators.autoencoder import DenseAutoencoder, LstmAutoencoder, train
 from ..operators.iforest import fit_forest, fit_predict_forest, load_forest, predict_forest, save_forest
 from ..operators.kmeans import assign_clusters, centres, cluster_rarity, fit_kmeans, kmeans_anomalies, silhouette
-from ..operators.normalize import znorm
-from ..operators.reconstruct import fit_linear, label_losses, reconstruction_loss
+from ..operators.normalize import apply_scaler, fit_scaler, znorm
+from ..operators.reconstruct import fit_linear, label_losses, linear_loss, load_linear, reconstruction_loss, save_linear
 from ..operators.smooth import moving_average, smoothed_windows
 from ..operators.stats import percentile_threshold
-from ..plans import attach_scalar, write_scratch
+from ..plans import attach_scalar, with_position, write_scratch
 from ..plans.scratch import scratch_path
-from .registry import events, query, table, with_day
+from ..streaming.ingest import start
+from ..streaming.scoring import Scorer, incremental_scorer, read_scored, score_batch
+from .registry import event_block, events, query, table, with_day
+from .streams import event_stream
 from .windows import positioned
 
 
@@ -155,6 +158,74 @@ def labelled(windows, model):
     return label_losses(attach_scalar(scored, limit), F.col("_limit")).drop("_limit")
 
 
+def _pair_windows_sql(rows="events"):
+    """Two-wide windows (a, b) of the smoothed signal before each reading, standardised by all of ``events``."""
+    return f"""SELECT event_id, user_id, ts, lag(m, 2) OVER v AS a, lag(m, 1) OVER v AS b FROM (
+                 SELECT event_id, user_id, ts, CASE WHEN count(*) OVER w >= 3 THEN avg(z) OVER w END AS m FROM (
+                   SELECT event_id, user_id, ts, (value - (SELECT avg(value) FROM events)) / (SELECT stddev_pop(value) FROM events) AS z
+                   FROM {rows})
+                 WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+               WINDOW v AS (PARTITION BY user_id ORDER BY event_id)"""
+
+
+def _pair_loss_sql(fit):
+    """Loss (event_id, user_id, loss) of all windows w by the leading eigenvector of the windows in ``fit``, in closed form."""
+    return f"""t AS (SELECT avg(a) AS ma, avg(b) AS mb, 0.5 * atan2(2 * covar_pop(a, b), var_pop(a) - var_pop(b)) AS angle FROM {fit}),
+               l AS (SELECT event_id, user_id, (abs((a - ma) - cos(angle) * p) + abs((b - mb) - sin(angle) * p)) / 2 AS loss
+                     FROM (SELECT *, cos(angle) * (a - ma) + sin(angle) * (b - mb) AS p FROM w, t))"""
+
+
+@query(
+    "pca_pairs",
+    f"""WITH w AS (SELECT * FROM ({_pair_windows_sql()}) WHERE a IS NOT NULL), {_pair_loss_sql("w")}
+        SELECT event_id, user_id, round(loss, 6) AS loss, round(q, 6) AS threshold, CAST(loss > q AS INTEGER) AS anomaly
+        FROM l, (SELECT quantile_cont(loss, 0.95) AS q FROM l)""",
+)
+def pca_pairs(spark, d):
+    """Windows of two smoothed values, where the component has a closed form."""
+    df = znorm(positioned(spark, d, "value"), "value", ddof=0, digits=None)
+    df = smoothed_windows(df, "zscale", ["user_id"], 3, 2).select("event_id", "user_id", "window")
+    df = write_scratch(df, "pairs")
+    out = labelled(df, fit_linear(df, "window", 1))
+    return out.select("event_id", "user_id", F.round("loss", 6).alias("loss"), F.round("threshold", 6).alias("threshold"), "anomaly")
+
+
+_STORED_SQL = f"""WITH w AS (SELECT * FROM ({_pair_windows_sql()}) WHERE a IS NOT NULL),
+                  h AS (SELECT * FROM ({_pair_windows_sql("(SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00')")})
+                        WHERE a IS NOT NULL), {_pair_loss_sql("h")}
+                  SELECT event_id, user_id, round(loss, 6) AS loss, CAST(loss > 0.25 AS INTEGER) AS label FROM l"""
+
+
+def stored_scorer(spark, d):
+    """A scorer from a model of the first half of the period, stored and loaded, with a fixed threshold."""
+    scaler = fit_scaler(events(spark, d), "value", ddof=0)
+    df = positioned(spark, d, "ts", "value").filter(F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    df = with_position(df.drop("pos"), ["user_id"], ["event_id"], "pos", event_block())
+    df = apply_scaler(df, scaler, "value", out="zscale", digits=None)
+    windows = write_scratch(smoothed_windows(df, "zscale", ["user_id"], 3, 2).select("window"), "first-half")
+    path = scratch_path(spark, "linear")
+    save_linear(spark, fit_linear(windows, "window", 1), path)
+    return Scorer(
+        scaler=scaler, loss=linear_loss(load_linear(spark, path)), threshold=0.25, steps=2,
+        device="user_id", index="event_id", by_device=False,
+    )
+
+
+@query("stored_model_scores", _STORED_SQL)
+def stored_model_scores(spark, d):
+    out = score_batch(events(spark, d).select("event_id", "user_id", "value"), stored_scorer(spark, d), block=event_block())
+    return out.select("event_id", "user_id", F.round("loss", 6).alias("loss"), "label")
+
+
+@query("stream_stored_model", _STORED_SQL)
+def stream_stored_model(spark, d):
+    """The same over the stream: nothing is fitted on what it brings."""
+    state, out, ck = (scratch_path(spark, n) for n in ("state", "scores", "scores-checkpoint"))
+    rows = event_stream(spark, d).select("event_id", "user_id", "value")
+    start(rows, incremental_scorer(stored_scorer(spark, d), state, out), ck).awaitTermination()
+    return read_scored(spark, out).select("event_id", "user_id", F.round("loss", 6).alias("loss"), "label")
+
+
 @query("pca_reconstruction")
 def pca_reconstruction(spark, d):
     windows = event_windows(spark, d)

@@ -183,14 +183,13 @@ def _trees(nodes: DataFrame) -> list[pd.DataFrame]:
     return [t.set_index("node") for _, t in table.groupby("tree")]
 
 
-def _compiled(tree: pd.DataFrame, features: Column, node: int = 1) -> Column:
-    """Path length of a row in a tree, as nested conditions."""
+def _compiled(tree: pd.DataFrame, features: str, node: int = 1) -> str:
+    """Path length of a row in a tree, as nested conditions: SQL text, which is parsed once for all trees."""
     n = tree.loc[node]
     if n["feature"] < 0:
-        return F.lit(float(n["depth"] + mean_path(n["size"])))
-    below = F.get(features, F.lit(int(n["feature"]))).cast("double") < F.lit(float(n["threshold"]))
+        return f"{float(n['depth'] + mean_path(n['size']))!r}D"
     lower, upper = (_compiled(tree, features, int(n[c])) for c in ("lower", "upper"))
-    return F.when(below, lower).otherwise(upper)
+    return f"IF(double(get(`{features}`, {int(n['feature'])})) < {float(n['threshold'])!r}D, {lower}, {upper})"
 
 
 def _walker(trees: list[pd.DataFrame]):
@@ -233,9 +232,7 @@ def score_forest(
     trees = _trees(nodes)
     scale = float(max(mean_path(sample_rows), 1e-12))
     if sum(map(len, trees)) <= compiled_nodes:
-        total = F.lit(0.0)
-        for tree in trees:
-            total = total + _compiled(tree, F.col(features))
+        total = F.expr(" + ".join(["0.0D", *[_compiled(tree, features) for tree in trees]]))
     else:
         total = _walker(trees)(F.col(features))
     return df.withColumn(out, F.pow(F.lit(2.0), -(total / max(len(trees), 1)) / scale))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed import latest_version
 from ..operators.normalize import apply_scaler, fit_scaler
+from ..operators.reconstruct import THRESHOLDS
 from ..operators.smooth import smoothed_windows
 from ..operators.stats import count_gate
 from ..plans import attach, scratch_scope, top_k, with_position, write_scratch
@@ -46,7 +47,7 @@ class Scorer:
 
     scaler: DataFrame | None
     loss: Callable[[DataFrame], DataFrame]
-    threshold: float = 1.5
+    threshold: float = THRESHOLDS["deployed_window"]
     smooth: int = 3
     steps: int = 5
     gate: int = 0

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.reconstruct import THRESHOLDS
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -128,7 +130,7 @@ def score_ordered(
     ts: str,
     value: str,
     delay: str = "10 minutes",
-    threshold: float = 1.5,
+    threshold: float = THRESHOLDS["deployed_window"],
     smooth: int = 3,
     steps: int = 5,
     bucket_seconds: float = 30.0,
