@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import evaluate
 from ..operators.autoencoder import DenseAutoencoder, LstmAutoencoder, train
 from ..operators.iforest import fit_forest, fit_predict_forest, load_forest, predict_forest, save_forest
-from ..operators.kmeans import assign_clusters, centres, cluster_rarity, fit_kmeans, kmeans_anomalies, silhouette
+from ..operators.kmeans import assign_clusters, centres, cluster_rarity, first_rows, fit_lloyd, quantile_rows, silhouette
 from ..operators.normalize import apply_scaler, fit_scaler, znorm
 from ..operators.reconstruct import fit_linear, label_losses, linear_loss, load_linear, reconstruction_loss, save_linear
 from ..operators.smooth import moving_average, smoothed_windows
@@ -32,34 +33,114 @@ _SMOOTHED = """
     FROM (SELECT event_id, user_id, ts, round((value - avg(value) OVER ()) / stddev_samp(value) OVER (), 6) AS zscale FROM events)"""
 
 
-@query("kmeans_anomalies")
+_COLUMNS = ["zscale", "zround"]
+_STEPS = 10
+
+
+def _lloyd_sql(k, steps=_STEPS):
+    """Lloyd's steps over x (zscale, zround) from the column quantiles: centres c0, c1, ... as lists, clusters in ``near``."""
+    at = [(i + 0.5) / k for i in range(k)]
+    first = ", ".join(f"[{', '.join(f'quantile_disc({c}, {q!r})' for q in at)}] AS {n}" for c, n in zip(_COLUMNS, "ab"))
+    near = """SELECT x.*, list_position(d, list_min(d)) - 1 AS c FROM (
+                SELECT *, list_transform(a, lambda v, i: (zscale - v) * (zscale - v) + (zround - b[i]) * (zround - b[i])) AS d
+                FROM x, c{step}) x"""
+    parts = [f"x AS MATERIALIZED ({_SMOOTHED}), c0 AS MATERIALIZED (SELECT {first} FROM x)"]
+    for s in range(steps):
+        parts.append(
+            f"""c{s + 1} AS MATERIALIZED (
+                  SELECT list(coalesce(m.a, c{s}.a[t.i + 1]) ORDER BY t.i) AS a, list(coalesce(m.b, c{s}.b[t.i + 1]) ORDER BY t.i) AS b
+                  FROM range(0, {k}) t(i) CROSS JOIN c{s}
+                  LEFT JOIN (SELECT c, avg(zscale) AS a, avg(zround) AS b FROM ({near.format(step=s)}) GROUP BY c) m ON m.c = t.i)"""
+        )
+    return ", ".join([*parts, f"near AS MATERIALIZED ({near.format(step=steps)})"])
+
+
+_RARITY = """n AS (SELECT c, count(*) AS n FROM near GROUP BY c), e AS (SELECT min(n) AS lo, max(n) AS hi FROM n),
+             rare AS (SELECT c, (hi - n) / (hi - lo) AS score FROM n, e)"""
+
+
+def quantile_start(spark, d, k):
+    df = write_scratch(smoothed(spark, d), "smoothed")
+    return df, quantile_rows(df, _COLUMNS, k)
+
+
+@query(
+    "kmeans_anomalies",
+    f"""WITH {_lloyd_sql(5)}, {_RARITY}
+        SELECT event_id, user_id, zscale, zround, CAST(near.c AS INTEGER) AS prediction, round(score, 6) AS score, 1 AS anomaly
+        FROM near JOIN rare USING (c) WHERE score > 0.9999""",
+)
 def kmeans_events(spark, d):
-    return kmeans_anomalies(write_scratch(smoothed(spark, d), "smoothed"), ["zscale", "zround"])
+    df, start = quantile_start(spark, d, 5)
+    out = cluster_rarity(assign_clusters(df, fit_lloyd(df, _COLUMNS, start, _STEPS), _COLUMNS)).filter("anomaly = 1")
+    return out.withColumn("score", F.round("score", 6))
 
 
-@query("kmeans_centres")
+@query(
+    "kmeans_centres",
+    f"""WITH {_lloyd_sql(6)}
+        SELECT CAST(i AS INTEGER) AS cluster, CAST(j AS INTEGER) AS dimension,
+               round(CASE WHEN j = 0 THEN a[i + 1] ELSE b[i + 1] END, 6) + 0.0 AS coordinate
+        FROM c{_STEPS}, range(0, 6) t(i), range(0, 2) u(j)""",
+)
 def kmeans_centres(spark, d):
-    df = write_scratch(smoothed(spark, d), "smoothed")
-    return centres(df, fit_kmeans(df, ["zscale", "zround"], k=6))
+    df, start = quantile_start(spark, d, 6)
+    out = centres(df, fit_lloyd(df, _COLUMNS, start, _STEPS))
+    return out.withColumn("coordinate", F.round("coordinate", 6) + 0.0)
 
 
-@query("kmeans_silhouette")
+@query(
+    "kmeans_silhouette",
+    f"""WITH {_lloyd_sql(5)},
+        g AS (SELECT c, count(*) AS n, avg(zscale) AS ma, avg(zround) AS mb, avg(zscale * zscale + zround * zround) AS mq
+              FROM near GROUP BY c),
+        far AS (SELECT event_id, near.c AS own, g.c, g.n,
+                       zscale * zscale + zround * zround - 2 * (zscale * ma + zround * mb) + mq AS d FROM near, g),
+        s AS (SELECT event_id, any_value(n) FILTER (c = own) AS n, any_value(d * n / (n - 1)) FILTER (c = own AND n > 1) AS a,
+                     min(d) FILTER (c <> own) AS b FROM far GROUP BY event_id)
+        SELECT count(*) AS n_rows, round(avg(CASE WHEN n = 1 OR a = b THEN 0 WHEN a < b THEN 1 - a / b ELSE b / a - 1 END), 6) AS silhouette
+        FROM s""",
+)
 def kmeans_silhouette(spark, d):
-    df = write_scratch(smoothed(spark, d), "smoothed")
-    cols = ["zscale", "zround"]
-    value = silhouette(df, fit_kmeans(df, cols), cols)
-    return df.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).withColumn("silhouette", F.lit(value))
+    df, start = quantile_start(spark, d, 5)
+    value = silhouette(df, fit_lloyd(df, _COLUMNS, start, _STEPS), _COLUMNS)
+    return df.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).withColumn("silhouette", F.round(F.lit(value), 6))
+
+
+def _vector_lloyd_sql(k, steps):
+    near = """SELECT x.*, list_position(d, list_min(d)) - 1 AS c FROM (
+                SELECT *, list_transform(m, lambda q: list_sum(list_transform(e, lambda v, j: (v - q[j]) * (v - q[j])))) AS d
+                FROM x, c{step}) x"""
+    parts = [
+        f"""x AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+            c0 AS MATERIALIZED (SELECT list(e ORDER BY vec_id) AS m FROM (SELECT * FROM x ORDER BY vec_id LIMIT {k}))"""
+    ]
+    for s in range(steps):
+        parts.append(
+            f"""c{s + 1} AS MATERIALIZED (
+                  SELECT list(coalesce(g.m, c{s}.m[t.i + 1]) ORDER BY t.i) AS m FROM range(0, {k}) t(i) CROSS JOIN c{s}
+                  LEFT JOIN (SELECT c, list(v ORDER BY j) AS m FROM (
+                               SELECT c, j, avg(e[j]) AS v FROM ({near.format(step=s)}), range(1, 65) u(j) GROUP BY c, j)
+                             GROUP BY c) g ON g.c = t.i)"""
+        )
+    return ", ".join([*parts, f"near AS MATERIALIZED ({near.format(step=steps)})"])
 
 
-@query("kmeans_embeddings")
+@query(
+    "kmeans_embeddings",
+    f"""WITH {_vector_lloyd_sql(5, 5)}, {_RARITY}
+        SELECT vec_id, CAST(near.c AS INTEGER) AS prediction, round(score, 6) AS score, CAST(coalesce(score > 0.9999, false) AS INTEGER) AS anomaly
+        FROM near JOIN rare USING (c)""",
+)
 def kmeans_embeddings(spark, d):
     size = 64
     df = table(spark, d, "embeddings").select(
         "vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(size)]
     )
     cols = [f"x{i}" for i in range(size)]
-    out = cluster_rarity(assign_clusters(df, fit_kmeans(df, cols), cols))
-    return out.select("vec_id", "prediction", "score", "anomaly")
+    model = fit_lloyd(df, cols, first_rows(df, cols, ["vec_id"], 5), steps=5)
+    out = cluster_rarity(assign_clusters(df, model, cols))
+    return out.select("vec_id", "prediction", F.round("score", 6).alias("score"), "anomaly")
 
 
 _C = "CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
@@ -238,6 +319,44 @@ def pca_embeddings(spark, d):
     return labelled(df, fit_linear(df, "window", 8))
 
 
+_DETECTORS = ["sigma", "kmeans", "forest", "pca"]
+
+
+@query(
+    "best_thresholds",
+    f"""WITH {_lloyd_sql(5)}, {_RARITY},
+        f AS (WITH {_forest_sql(f"SELECT event_id, zround AS x FROM ({_SMOOTHED})", "event_id")} SELECT event_id, score FROM scored),
+        p AS (WITH w AS (SELECT * FROM ({_pair_windows_sql()}) WHERE a IS NOT NULL), {_pair_loss_sql("w")} SELECT event_id, loss FROM l),
+        g AS (SELECT near.event_id, abs(zscale) AS sigma, rare.score AS kmeans, f.score AS forest, p.loss AS pca,
+                     CAST(event_type = 'error' AS INTEGER) AS actual
+              FROM near JOIN rare USING (c) JOIN f USING (event_id) LEFT JOIN p USING (event_id) JOIN events e ON e.event_id = near.event_id),
+        long AS ({" UNION ALL ".join(f"SELECT '{x}' AS detector, round({x}, 6) AS score, actual FROM g" for x in _DETECTORS)}),
+        t AS (SELECT detector, count(*) AS n, sum(actual) AS p FROM long GROUP BY detector),
+        c AS (SELECT detector, score, sum(count(*)) OVER o AS flagged, sum(sum(actual)) OVER o AS tp FROM long WHERE score IS NOT NULL
+              GROUP BY detector, score WINDOW o AS (PARTITION BY detector ORDER BY score DESC)),
+        q AS (SELECT detector, score AS threshold, n - p - flagged + tp AS tn, flagged - tp AS fp, p - tp AS fn, tp,
+                     CASE WHEN 2 * tp + (flagged - tp) + (p - tp) > 0 THEN 2 * tp / (2 * tp + (flagged - tp) + (p - tp)) END AS f1
+              FROM c JOIN t USING (detector))
+        SELECT detector, threshold, CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp,
+               round(tp / (tp + fp), 6) AS precision, CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 6) END AS recall, round(f1, 6) AS f1
+        FROM (SELECT *, row_number() OVER (PARTITION BY detector ORDER BY coalesce(f1, -1) DESC, threshold DESC) AS r FROM q) WHERE r = 1""",
+)
+def best_thresholds_of_detectors(spark, d):
+    """Four detectors against the error events, met by key: the threshold with the best F1 of each."""
+    df, start = quantile_start(spark, d, 5)
+    scored = cluster_rarity(assign_clusters(df, fit_lloyd(df, _COLUMNS, start, _STEPS), _COLUMNS))
+    scored = scored.select("event_id", F.abs("zscale").alias("sigma"), F.col("score").alias("kmeans"), F.array("zround").alias("x"))
+    scored, _ = fit_predict_forest(scored, "x", ["event_id"], score="forest")
+    pairs = znorm(positioned(spark, d, "value"), "value", ddof=0, digits=None)
+    pairs = write_scratch(smoothed_windows(pairs, "zscale", ["user_id"], 3, 2).select("event_id", "window"), "pairs")
+    losses = reconstruction_loss(pairs, fit_linear(pairs, "window", 1), "window", "pca").drop("window")
+    truth = events(spark, d).select("event_id", (F.col("event_type") == "error").cast("int").alias("actual"))
+    met = scored.drop("x", "prediction").join(losses, "event_id", "left").join(truth, "event_id")
+    rounded = met.select("actual", *[F.round(c, 6).alias(c) for c in _DETECTORS])
+    best = evaluate.best_thresholds(evaluate.long_scores(rounded, ["actual"], _DETECTORS), "actual", "score", ["detector"])
+    return best.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
 @query("dense_autoencoder")
 def dense_autoencoder(spark, d):
     df = znorm(events(spark, d).select("event_id", "value"), "value", ddof=0, digits=None)

@@ -9,7 +9,7 @@ join and nothing broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,13 +40,25 @@ def running_total(
     one, the rows are range-sorted on (keys, order) and written once; a block is then a
     partition of that sort, whatever the distribution of the data.
     """
+    return running_totals(df, keys, order, {out: weight}, block, fold)
+
+
+def running_totals(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    weights: Mapping[str, Column],
+    block: Column | None = None,
+    fold: Callable[[str], Column] = F.sum,
+) -> DataFrame:
+    """``running_total`` of several weights at once, by the names of their totals."""
     keys, order = list(keys), list(order)
-    rows = df.withColumn(_W, weight)
+    rows = df.withColumns({f"{_W}{i}": w for i, w in enumerate(weights.values())})
     if block is None:
         rows = _sorted_blocks(rows, keys, order).drop(_ROW)
     else:
         rows = rows.withColumn(_BLOCK, block)
-    return _from_heads(rows, keys, order, out, fold)
+    return _from_heads(rows, keys, order, list(weights), fold)
 
 
 def _sorted_blocks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -59,17 +71,22 @@ def _sorted_blocks(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def _from_heads(
-    rows: DataFrame, keys: list[str], order: list[str], out: str, fold: Callable[[str], Column] = F.sum
+    rows: DataFrame, keys: list[str], order: list[str], outs: list[str], fold: Callable[[str], Column] = F.sum
 ) -> DataFrame:
     along = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    before = fold("_t").over(along)
-    if fold is F.sum:
-        before = F.coalesce(before, F.lit(0).cast("double"))
+    ws = [f"{_W}{i}" for i in range(len(outs))]
+
+    def before(w: str) -> Column:
+        total = fold(f"_t{w}").over(along)
+        if fold is F.sum:
+            total = F.coalesce(total, F.lit(0).cast("double"))
+        return total.cast(rows.schema[w].dataType)
+
     heads = (
         rows.groupBy(*keys, _BLOCK)
-        .agg(fold(_W).alias("_t"))
-        .withColumn(_W, before.cast(rows.schema[_W].dataType))
-        .drop("_t")
+        .agg(*[fold(w).alias(f"_t{w}") for w in ws])
+        .withColumns({w: before(w) for w in ws})
+        .drop(*[f"_t{w}" for w in ws])
         .withColumn(_HEAD, F.lit(True))
     )
     within = (
@@ -80,9 +97,9 @@ def _from_heads(
     return (
         rows.withColumn(_HEAD, F.lit(False))
         .unionByName(heads, allowMissingColumns=True)
-        .withColumn(out, fold(_W).over(within))
+        .withColumns({out: fold(w).over(within) for out, w in zip(outs, ws)})
         .filter(~F.col(_HEAD))
-        .drop(_BLOCK, _HEAD, _W)
+        .drop(_BLOCK, _HEAD, *ws)
     )
 
 
@@ -110,7 +127,7 @@ def with_position(
     )
     starts = write_scratch(starts, "starts")
     if measured_bytes(starts) > BROADCAST_BYTES:
-        return _from_heads(rows.drop(_ROW).withColumn(_W, one), keys, list(order), out)
+        return _from_heads(rows.drop(_ROW).withColumn(f"{_W}0", one), keys, list(order), [out])
     theirs = starts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, _BLOCK])], "_shift")
     same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, _BLOCK])]
     joined = rows.join(F.broadcast(theirs), same)
