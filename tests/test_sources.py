@@ -44,12 +44,24 @@ def test_sinks(spark, tmp_path):
     csv.write_sorted_csv(df, str(tmp_path / "one"), ["neg"], single_file=True)
     files = list((tmp_path / "one").glob("*.csv"))
     assert len(files) == 1 and files[0].read_text().splitlines()[0] == "99,-99"
+    # Parts of several tasks, joined in order; written again, it replaces the file.
+    for rows in (df.repartition(7), df.limit(0), df.repartition(3)):
+        csv.write_sorted_csv(rows, str(tmp_path / "one"), ["id"], header=True, single_file=True)
+        lines = [f for f in (tmp_path / "one").iterdir() if f.suffix == ".csv"][0].read_text().splitlines()
+        assert lines == ["id,neg", *([f"{i},{-i}" for i in range(100)] if not rows.isEmpty() else [])]
     csv.write_sorted_csv(df, str(tmp_path / "many"), ["id"], header=True)
     assert spark.read.option("header", True).csv(str(tmp_path / "many")).count() == 100
     csv.export_csv(df, str(tmp_path / "plain"))
     assert spark.read.option("header", True).csv(str(tmp_path / "plain")).columns == ["id", "neg"]
 
 
+def test_one_file_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(csv, "join_files", lambda spark, folder, target, head: seen.append(len(list(__import__("pathlib").Path(folder).glob("part-*")))))
+    csv.write_sorted_csv(spark.range(200_000).toDF("id"), str(tmp_path / "one"), ["id"], single_file=True)
+    assert seen[0] > 1
+
+
 def test_models_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(float(i % 3 * 10), float(i % 3)) for i in range(60)], "a double, b double")
     model = fit_kmeans(df, ["a", "b"], k=3)
