@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import features as free
 from ..operators import ordered_features as ordered
 from ..operators import spectral_features as spectral
-from .registry import events, query
+from .registry import ORACLE, events, query
 from .windows import LINE_ORDER, lines, positioned
 from ..plans import with_position
 
@@ -95,6 +95,28 @@ def series_features_basic(spark, d):
     )
 
 
+#: The parts' SQL over whole numbers, which recur.
+_WHOLE = "FROM (SELECT * REPLACE (round(value, 0) AS value) FROM events)"
+
+
+def _joined_sql(names, replace=()):
+    """One row per device with the columns of several registered queries."""
+    parts = [ORACLE[n] for n in names]
+    for old, new in replace:
+        parts = [p.replace(old, new) for p in parts]
+    return "SELECT * FROM " + " JOIN ".join(f"({p}) p{i}" + (" USING (user_id)" if i else "") for i, p in enumerate(parts))
+
+
+@query(
+    "series_features_all",
+    _joined_sql(["features_moments", "features_relative", "features_recurrence", "features_quantiles"], [("FROM events", _WHOLE)]),
+)
+def series_features_all(spark, d):
+    """Every order-free feature of whole-number readings, in one table."""
+    df = events(spark, d).select("user_id", F.round("value", 0).alias("value"))
+    return r6(free.series_features(df, ["user_id"], "value", count_range=(-1.0, 50.0), count_value=6.55))
+
+
 @query("abs_energy_single", "SELECT event_id, round(value * value, 4) AS abs_energy FROM events")
 def abs_energy_single(spark, d):
     """One-row series, where the energy is the square."""
@@ -202,6 +224,21 @@ def series_features_ordered(spark, d):
     )
 
 
+_MASS_HALF = """SELECT user_id, round(min(CASE WHEN c / t >= 0.5 THEN pos / n END), 6) AS index_mass_quantile_0_5 FROM (
+         SELECT user_id, row_number() OVER w AS pos, sum(abs(value)) OVER (w ROWS UNBOUNDED PRECEDING) AS c,
+                sum(abs(value)) OVER (PARTITION BY user_id) AS t, count(*) OVER (PARTITION BY user_id) AS n
+         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) GROUP BY user_id"""
+_ORDERED_PARTS = ["features_changes", "features_energy_ratio", "features_change_quantiles", "features_strikes"]
+
+
+@query("ordered_features_all", f"SELECT * FROM ({_joined_sql(_ORDERED_PARTS)}) JOIN ({_MASS_HALF}) USING (user_id)")
+def ordered_features_all(spark, d):
+    """Every order-dependent feature in one table."""
+    out = ordered.ordered_features(positioned(spark, d, "value"), ["user_id"], "value", lag=2, crossing=50.0)
+    big = ["c3", "time_reversal_asymmetry", "change_quantiles_var", "change_quantiles_var_abs"]
+    return r6(out, *big).withColumns({c: F.round(c, 4) for c in big})
+
+
 @query(
     "features_autocorrelation",
     f"""SELECT user_id, {", ".join(f"round(sum((value - m) * (lagged{k} - m)) / ((any_value(n) - {k}) * any_value(sd) * any_value(sd)), 6) AS autocorrelation_{k}" for k in (1, 2, 3))}
@@ -219,19 +256,30 @@ _LAGGED = ", ".join(f"lag(value, {k}) OVER (PARTITION BY user_id ORDER BY pos) A
 _ALL = "[r1, r2, r3, r4, r5, r6]"
 
 
+def _partial_sql(steps):
+    """The recursion of Durbin and Levinson over r, one nested query per coefficient."""
+    sql = "SELECT user_id, r, [r[1]] AS phi, [r[1]] AS found FROM a"
+    for k in range(2, steps + 1):
+        sql = f"""SELECT user_id, r, list_append(list_transform(phi, lambda v, i: v - a * phi[{k} - i]), a) AS phi,
+                         list_append(found, a) AS found FROM (
+                    SELECT *, (r[{k}] - list_sum(list_transform(phi, lambda v, i: v * r[{k} - i])))
+                              / (1 - list_sum(list_transform(phi, lambda v, i: v * r[i]))) AS a FROM ({sql}))"""
+    return sql
+
+
 @query(
     "features_correlation_summary",
-    f"""SELECT user_id, round(list_avg({_ALL}), 6) AS mean_acf, round(list_median({_ALL}), 6) AS median_acf,
-               round(list_var_pop({_ALL}), 6) AS var_acf, round(r1, 6) AS pacf_1,
-               round((r2 - r1 * r1) / (1 - r1 * r1), 6) AS pacf_2
-        FROM (SELECT user_id, {_ACF} FROM (SELECT *, {_LAGGED} FROM ({_SEQ})) GROUP BY user_id)""",
+    f"""WITH a AS (SELECT user_id, {_ALL} AS r FROM (SELECT user_id, {_ACF} FROM (SELECT *, {_LAGGED} FROM ({_SEQ})) GROUP BY user_id))
+        SELECT user_id, round(list_avg(r), 6) AS mean_acf, round(list_median(r), 6) AS median_acf,
+               round(list_var_pop(r), 6) AS var_acf, {", ".join(f"round(found[{i}], 6) AS pacf_{i}" for i in range(1, 7))}
+        FROM ({_partial_sql(6)})""",
 )
 def features_correlation_summary(spark, d):
     out = spectral.correlation_summary(positioned(spark, d, "value"), ["user_id"], "value", 6)
     return out.select(
         "user_id",
         *[F.round(f"agg_autocorrelation_{c}", 6).alias(f"{c}_acf") for c in ("mean", "median", "var")],
-        *[F.round(F.get("partial_autocorrelation", F.lit(i)), 6).alias(f"pacf_{i + 1}") for i in (0, 1)],
+        *[F.round(F.get("partial_autocorrelation", F.lit(i)), 6).alias(f"pacf_{i + 1}") for i in range(6)],
     )
 
 

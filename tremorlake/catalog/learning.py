@@ -1,9 +1,8 @@
-"""Detectors that learn. Their results are numeric, not SQL; the tests judge them by planted anomalies."""
+"""Detectors that learn, with SQL that grows the same trees, moves the same centres and finds the same components."""
 
 from pyspark.sql import functions as F
 
 from ..operators import evaluate
-from ..operators.autoencoder import DenseAutoencoder, LstmAutoencoder, train
 from ..operators.iforest import fit_forest, fit_predict_forest, load_forest, predict_forest, save_forest
 from ..operators.kmeans import assign_clusters, centres, cluster_rarity, first_rows, fit_lloyd, quantile_rows, silhouette
 from ..operators.normalize import apply_scaler, fit_scaler, znorm
@@ -355,16 +354,3 @@ def best_thresholds_of_detectors(spark, d):
     rounded = met.select("actual", *[F.round(c, 6).alias(c) for c in _DETECTORS])
     best = evaluate.best_thresholds(evaluate.long_scores(rounded, ["actual"], _DETECTORS), "actual", "score", ["detector"])
     return best.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
-
-
-@query("dense_autoencoder")
-def dense_autoencoder(spark, d):
-    df = znorm(events(spark, d).select("event_id", "value"), "value", ddof=0, digits=None)
-    points = df.select("event_id", F.array("zscale").alias("window"))
-    return labelled(points, train(points, "window", DenseAutoencoder(), steps=30).model)
-
-
-@query("lstm_autoencoder")
-def lstm_autoencoder(spark, d):
-    windows = event_windows(spark, d)
-    return labelled(windows, train(windows, "window", LstmAutoencoder(), steps=10).model)

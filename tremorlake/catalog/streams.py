@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed import read_keyed
 from ..operators.normalize import apply_scaler, fit_scaler
+from ..plans import write_scratch
 from ..plans.scratch import scratch_path
 from ..streaming.episodes import anomaly_counts, anomaly_sessions
 from ..streaming.ingest import accepted, decode, deduplicated, keyed_sink, start
@@ -57,7 +58,8 @@ def stream_ingest(spark, d):
 
 
 def outlier_stream(spark, d, k=1.5):
-    stats = fit_scaler(events(spark, d), "value")
+    # Written once, so that no batch reads the readings again for them.
+    stats = write_scratch(fit_scaler(events(spark, d), "value"), "scaler")
     rows = event_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
     z = apply_scaler(rows, stats, "value", out="distance", digits=None)
     return z.filter((F.col("distance") > k) | (F.col("distance") < -k))
@@ -140,7 +142,8 @@ def stream_scores_stateful(spark, d):
     spark.conf.set(key, ROCKSDB)
     try:
         rows = event_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
-        z = apply_scaler(rows, fit_scaler(events(spark, d), "value"), "value", out="z", digits=None)
+        stats = write_scratch(fit_scaler(events(spark, d), "value"), "scaler")
+        z = apply_scaler(rows, stats, "value", out="z", digits=None)
         scored = score_ordered(
             z, MeanReconstructor(), "user_id", "event_id", "ts", "z", "1 day", threshold=0.5, bucket_seconds=86_400
         )

@@ -150,18 +150,15 @@ def rolling_mean_halo(spark, d):
     "smoothed_windows",
     """WITH m AS (SELECT event_id, user_id, value, CASE WHEN count(*) OVER w >= 3 THEN avg(value) OVER w END AS m FROM events
           WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
-       SELECT event_id, user_id, round(w0, 6) AS w0, round(w4, 6) AS w4 FROM (
-         SELECT event_id, user_id, lag(m, 5) OVER v AS w0, lag(m, 1) OVER v AS w4 FROM m
-         WINDOW v AS (PARTITION BY user_id ORDER BY event_id)) WHERE w0 IS NOT NULL""",
+       SELECT event_id, user_id, round(w0, 6) AS w0, round(w1, 6) AS w1, round(w2, 6) AS w2, round(w3, 6) AS w3, round(w4, 6) AS w4
+       FROM (SELECT event_id, user_id, lag(m, 5) OVER v AS w0, lag(m, 4) OVER v AS w1, lag(m, 3) OVER v AS w2,
+                    lag(m, 2) OVER v AS w3, lag(m, 1) OVER v AS w4 FROM m
+             WINDOW v AS (PARTITION BY user_id ORDER BY event_id)) WHERE w0 IS NOT NULL""",
 )
 def smoothed_lag_windows(spark, d):
     out = smoothed_windows(positioned(spark, d, "value"), "value", ["user_id"], 3, 5, chunk_rows=16)
-    return out.select(
-        "event_id",
-        "user_id",
-        F.round(F.get("window", F.lit(0)), 6).alias("w0"),
-        F.round(F.get("window", F.lit(4)), 6).alias("w4"),
-    )
+    places = [F.round(F.get("window", F.lit(i)), 6).alias(f"w{i}") for i in range(5)]
+    return out.select("event_id", "user_id", *places)
 
 
 @query(
