@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from oracle import compare, connect
 
@@ -168,6 +169,20 @@ def test_near_duplicates(spark, length):
     assert sorted(got) == brute_components(pairs)
 
 
+def test_parities_bound_the_symmetric_difference():
+    rng = np.random.default_rng(4)
+    for n in (1, 30, 300, 5000):
+        for gone in (0, 1, n // 10, n // 2):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64))
+            b = np.unique(np.concatenate((a[gone:], rng.integers(0, 1 << 63, gone, dtype=np.int64).astype(np.uint64))))
+            apart = int(np.bitwise_count(nd.parities(a) ^ nd.parities(b)).sum())
+            both = len(np.intersect1d(a, b))
+            differ = len(a) + len(b) - 2 * both
+            assert apart <= differ and (differ < 60) <= (apart >= 0.8 * differ)
+            if 100 * both >= 75 * (len(a) + len(b) - both):
+                assert 7 * apart <= len(a) + len(b)
+
+
 def test_near_duplicates_without_keys(spark, rows):
     got = rows(nd.near_duplicates(docs(spark, [(None, "a b c"), (7, "a b c"), (7, "a b c"), (None, "q"), (None, None)])))
     assert got == [(None, 0, None, False), (None, 1, None, False), (None, 1, 7, False), (7, 1, 7, True), (7, 1, 7, True)]

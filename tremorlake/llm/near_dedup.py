@@ -15,7 +15,11 @@ Links are then confirmed on the full sets, in an order that avoids pairs within
 * Each candidate is compared with a few centres of its bands, after the estimated similarity (corrected
   for colliding registers) has ruled out the hopeless pairs, and components are formed.
 * Whatever still shares a band across two components is compared in full, unless the sizes, the shingles
-  that can be shared, or a one-bit sketch of the registers (a bound of six deviations) rule it out.
+  that can be shared, a parity sketch, or a one-bit sketch of the registers (a bound of six deviations) rule it out.
+  The parity sketch holds for each of ``PARITIES`` groups of hashes whether the set has an odd number of them. Groups
+  in which two sets differ hold at least one shingle that only one of them has, so their number is a lower bound for
+  the symmetric difference, which for linked sets is at most a seventh of both sizes. In a dense group of near copies
+  it leaves only pairs close to the threshold, whatever the size of the group.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ BANDS = BUCKETS // ROWS
 SMALL = 32
 CENTRES = 3
 MANTISSA = 10
+PARITIES = 1024
 _REACH = SMALL * 4 // 3 + 1
 _PROBES = 400
 
@@ -91,6 +96,12 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out.astype(np.uint16)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each group of hashes whether their number is odd, as 64-bit words."""
+    group = (_mix(shingles ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(PARITIES)).astype(np.int64)
+    return np.packbits((np.bincount(group, minlength=PARITIES) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for at in range(0, len(batch), 2000):
@@ -100,14 +111,14 @@ def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 s = shingle_set(text)
                 n = len(s)
                 if not n:
-                    rows.append((key, 0, None, None, None, 0, 0, 0))
+                    rows.append((key, 0, None, None, None, None, 0, 0, 0))
                     continue
                 r = registers(s)
                 bits = np.packbits((_mix(r.astype(np.uint64) + np.uint64(1)) & np.uint64(1)).astype(np.uint8))
                 sketch = bits.view(np.int64)
                 small = s[: n - -(-3 * n // 4) + 1].view(np.int64) if n <= _REACH else None
-                rows.append((key, n, xxhash.xxh3_128_digest(s.tobytes()), r.tobytes(), small, *map(int, sketch)))
-            out = pd.DataFrame(rows, columns=["_id", "n", "fp", "regs", "small", "s0", "s1", "s2"])
+                rows.append((key, n, xxhash.xxh3_128_digest(s.tobytes()), r.tobytes(), small, parities(s), *map(int, sketch)))
+            out = pd.DataFrame(rows, columns=["_id", "n", "fp", "regs", "small", "odd", "s0", "s1", "s2"])
             out["_id"] = part["_id"].to_numpy()
             yield out
 
@@ -205,11 +216,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     kind = dict(slim.dtypes)["_id"]
     signed = slim.mapInPandas(
         _signatures,
-        f"_id {kind}, n bigint, fp binary, regs binary, small array<bigint>, s0 bigint, s1 bigint, s2 bigint",
+        f"_id {kind}, n bigint, fp binary, regs binary, small array<bigint>, odd array<bigint>, s0 bigint, s1 bigint, s2 bigint",
     )
     signed = write_scratch(signed, "signatures")
     filled = signed.filter("n > 0")
-    marks = ["n", "regs", "small", "s0", "s1", "s2"]
+    marks = ["n", "regs", "small", "odd", "s0", "s1", "s2"]
     nodes = filled.groupBy("fp").agg(F.min("_id").alias("id"), F.first(F.struct(*marks)).alias("_s"))
     nodes = write_scratch(nodes.select("fp", "id", "_s.*"), "nodes")
 
@@ -229,7 +240,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         F.count(F.lit(1)).alias("_c"), F.min("id").alias("id")
     )
     own = own.filter("_c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("_own"))
-    live = nodes.select("id", "n", "regs", "s0", "s1", "s2").join(wanted, "id").join(own, "id", "left")
+    live = nodes.select("id", "n", "regs", "odd", "s0", "s1", "s2").join(wanted, "id").join(own, "id", "left")
     live = live.withColumn("m", F.col("n") - F.coalesce("_own", F.lit(0))).filter("4 * m >= 3 * n").drop("_own")
     live = write_scratch(live, "live")
     # Centres: the smallest id of a band; of several, those that share the most bands.
@@ -253,10 +264,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     spread = write_scratch(spread.join(apart, "band").withColumn("i", number), "spread")
     left, right = (spread.select("band", *[F.col(c).alias(f"{c}_{x}") for c in spread.columns if c != "band"]) for x in "ab")
     differ = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(1, 3)), start=F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
+    apart_by = sum(
+        (F.bit_count(F.get("odd_a", F.lit(i)).bitwiseXOR(F.get("odd_b", F.lit(i)))) for i in range(1, PARITIES // 64)),
+        start=F.bit_count(F.get("odd_a", F.lit(0)).bitwiseXOR(F.get("odd_b", F.lit(0)))),
+    )
     possible = (
         (F.struct("_size_a", "comp_a") < F.struct("_size_b", "comp_b"))
         & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
         & (7 * F.least("m_a", "m_b") >= 3 * (F.col("n_a") + F.col("n_b")))
+        & (7 * apart_by <= F.col("n_a") + F.col("n_b"))
         & (differ <= _slack(F.least("n_a", "n_b")))
         # A pair comes from the first band that it shares.
         & ((F.col("i_a") == 0) | ~F.exists(F.sequence(F.lit(0), F.col("i_a") - 1), lambda j: _band(F.col("regs_a"), j) == _band(F.col("regs_b"), j)))
