@@ -175,7 +175,7 @@ def test_parities_bound_the_symmetric_difference():
         for gone in (0, 1, n // 10, n // 2):
             a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64))
             b = np.unique(np.concatenate((a[gone:], rng.integers(0, 1 << 63, gone, dtype=np.int64).astype(np.uint64))))
-            apart = int(np.bitwise_count(nd.parities(a) ^ nd.parities(b)).sum())
+            apart = int(np.bitwise_count((nd.parities(a) ^ nd.parities(b)).view(np.uint64)).sum())
             both = len(np.intersect1d(a, b))
             differ = len(a) + len(b) - 2 * both
             assert apart <= differ and (differ < 60) <= (apart >= 0.8 * differ)
