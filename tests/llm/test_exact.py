@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -107,6 +108,18 @@ def brute_decontaminate(pairs, items):
     return sorted(out, key=str)
 
 
+def test_a_word_over_and_over_costs_its_length(spark):
+    """Thousands of equal words on both sides, a period of three, and the same inside other words."""
+    same, period = "spam " * 5000, "a b c " * 1500
+    pairs = [(1, same), (2, f"x y {period} z"), (3, f"{'u v w ' * 9} {'spam ' * 12}"), (4, "spam " * 9), (5, None)]
+    items = [(1, same), (2, period), (3, "spam " * 11)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    begin = time.monotonic()
+    got = [tuple(r) for r in dc.decontaminate(docs(spark, pairs), benchmark).collect()]
+    assert time.monotonic() - begin < 60
+    assert [(r[0], r[1], r[2], r[3]) for r in sorted(got)] == [(1, 5000, 5000, 2), (2, 4503, 4500, 1), (3, 39, 12, 2), (4, 9, 0, 0), (5, 0, 0, 0)]
+
+
 @pytest.mark.parametrize("limit", [1 << 26, 0])
 def test_decontaminate(spark, limit):
     random.seed(5)

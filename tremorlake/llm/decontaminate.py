@@ -5,9 +5,10 @@ smallest is kept as a fingerprint. Two texts that share ``W + K - 1`` words in a
 hashes, and so its minimum: no shared span of ``WINDOW`` = ``W + K - 1`` words is missed. Items shorter than
 that have no full window; each length among them is matched by the hashes of that many words.
 
-Fingerprints of documents meet those of the benchmark by value. Only documents with a hit are aligned:
-every place where a document has the fingerprint of an item gives a shift between the two, the item is
-laid over the document at that shift, and runs of equal words as long as a window are marked as hit.
+Fingerprints of documents meet those of the benchmark by value. Only documents with a hit are extended: their
+windows meet the distinct windows of the items, word by word, and every word of an equal window is hit. A document
+gives one row per place and an item one per distinct window, so a passage that repeats in both, down to one
+word over and over, costs its length and not the product of the two.
 """
 
 from __future__ import annotations
@@ -23,8 +24,6 @@ WINDOW = 10
 K = 5
 
 
-
-
 def _empty() -> Column:
     return F.array().cast("array<bigint>")
 
@@ -55,17 +54,14 @@ def _benchmark(items: DataFrame, item_text: str, item_key: str) -> DataFrame:
     rows = items.select(F.col(item_key).cast("string").alias("_item"), text_of(item_text).alias("_t")).distinct()
     rows = _hashed(rows.select("_item", ascii_words(F.col("_t")).alias("_words")).filter(F.size("_words") > 0))
     n = F.size("_words")
-    rows = rows.withColumn("_grams", gram_hashes(F.col("_w"), K)).withColumn("_kept", minima(F.col("_grams"), WINDOW - K + 1))
-    marks = F.transform(
-        F.filter(F.arrays_zip(F.col("_grams").alias("g"), F.sequence(F.lit(0), n - K).alias("q")), lambda x: F.array_contains("_kept", x["g"])),
-        lambda x: F.struct(x["g"].alias("g"), x["q"].alias("q")),
-    )
+    # A column of its own: written into ``minima``, all grams would be computed again for every element.
+    rows = rows.withColumn("_grams", gram_hashes(F.col("_w"), K))
+    kept = minima(F.col("_grams"), WINDOW - K + 1)
     short = F.lit(None).cast("bigint")
     for length in range(1, WINDOW):
         whole = F.xxhash64(*[F.get("_w", F.lit(j)) for j in range(length)])
         short = F.when(n == length, whole).otherwise(short)
-    one = F.array(F.struct(short.alias("g"), F.lit(0).alias("q")))
-    return rows.select("_item", "_words", F.when(n >= WINDOW, marks).otherwise(one).alias("_marks"))
+    return rows.select("_item", "_words", F.when(n >= WINDOW, kept).otherwise(F.array(short)).alias("_marks"))
 
 
 def decontaminate(
@@ -87,8 +83,7 @@ def decontaminate(
     items = write_scratch(_benchmark(named, item_text, item_key), "items")
     # At most WINDOW - 1 values.
     lengths = [r[0] for r in items.select(F.size("_words").alias("n")).filter(F.col("n") < WINDOW).distinct().collect()]
-    marks = write_scratch(items.select("_item", F.inline("_marks")), "marks")
-    values = write_scratch(marks.select("g").distinct(), "values")
+    values = write_scratch(items.select(F.explode("_marks").alias("g")).distinct(), "values")
 
     def sized(table: DataFrame) -> DataFrame:
         return F.broadcast(table) if measured_bytes(table) <= limit else table
@@ -104,8 +99,10 @@ def decontaminate(
     seen = write_scratch(seen, "seen")
 
     same = ["_key", "_h"]
-    hits = _aligned(words, seen.filter("_met").select(*same), items, marks, lengths, sized)
-    n_hit = hits.select(*same, F.explode("_places").alias("_p")).distinct().groupBy(*same).agg(F.count(F.lit(1)).alias("_hit"))
+    hits = _extended(words, seen.filter("_met").select(*same), items, sorted({WINDOW, *lengths}), sized)
+    spans = hits.select(*same, "_start", "_span").distinct()
+    covered = F.sequence(F.col("_start"), F.col("_start") + F.col("_span") - 1)
+    n_hit = spans.select(*same, F.explode(covered).alias("_p")).distinct().groupBy(*same).agg(F.count(F.lit(1)).alias("_hit"))
     which = hits.select(*same, "_item").distinct().groupBy(*same).agg(F.array_sort(F.collect_list("_item")).alias("_items"))
     found = n_hit.join(which, same_row(n_hit, which)).select(n_hit["_key"], n_hit["_h"], "_hit", "_items")
     found = write_scratch(found, "found")
@@ -128,41 +125,30 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["_key"].eqNullSafe(b["_key"]) & (a["_h"] == b["_h"])
 
 
-def _aligned(words: DataFrame, met: DataFrame, items: DataFrame, marks: DataFrame, lengths: list[int], sized) -> DataFrame:
-    """Rows (_key, _h, _item, _places): positions of document words that an item covers at one shift."""
+def _windows(words: Column, span: Column) -> Column:
+    """The texts of all runs of ``span`` words (which hold no space), by the position of the first word."""
+    texts = F.transform(F.sequence(F.lit(1), F.size(words) - span + 1), lambda i: F.array_join(F.slice(words, i, span), " "))
+    return F.when(F.size(words) >= span, texts).otherwise(F.array().cast("array<string>"))
+
+
+def _extended(words: DataFrame, met: DataFrame, items: DataFrame, spans: list[int], sized) -> DataFrame:
+    """Rows (_key, _h, _item, _start, _span): windows of documents with a fingerprint hit that equal one of an item."""
     met = met.withColumnsRenamed({"_key": "_mk", "_h": "_mh"})
     here = words.join(sized(met), words["_key"].eqNullSafe(met["_mk"]) & (words["_h"] == met["_mh"]), "left_semi")
-    # Written with the word hashes: inside the lambdas below they must be a stored column, or the optimizer
-    # folds their computation into every element.
-    here = write_scratch(_hashed(here.dropDuplicates(["_key", "_h"])), "candidates")
-    grams = here.withColumn("_grams", gram_hashes(F.col("_w"), K)).select("_key", "_h", F.posexplode("_grams").alias("p", "g"))
-    for length in lengths:
-        short = here.withColumn("_grams", gram_hashes(F.col("_w"), length))
-        grams = grams.unionByName(short.select("_key", "_h", F.posexplode("_grams").alias("p", "g")))
-    shifts = grams.join(sized(marks), "g").select("_key", "_h", "_item", (F.col("p") - F.col("q")).alias("_shift")).distinct()
-    shifts = write_scratch(shifts, "shifts")
-    laid = shifts.join(sized(items.select("_item", F.col("_words").alias("_iw"))), "_item").join(
-        here.withColumnsRenamed({"_key": "_k2", "_h": "_h2"}),
-        F.col("_key").eqNullSafe(F.col("_k2")) & (F.col("_h") == F.col("_h2")),
-    )
-    size = F.size("_iw")
-    span = F.least(size, F.lit(WINDOW))
-    equal = F.transform(
-        F.col("_iw"),
-        lambda word, j: (F.col("_shift") + j >= 0)
-        & F.coalesce(F.get("_words", F.greatest(F.col("_shift") + j, F.lit(0))) == word, F.lit(False)),
-    )
-    laid = laid.select("_key", "_h", "_item", "_shift", equal.alias("_eq"), size.alias("_m"), span.alias("_span"))
-    starts = F.filter(
-        F.sequence(F.lit(0), F.col("_m") - F.col("_span")),
-        lambda s: F.forall(F.slice("_eq", s + 1, F.col("_span")), lambda e: e),
-    )
-    laid = laid.withColumn("_starts", starts).filter(F.size("_starts") > 0)
-    first = F.col("_shift")
-    places = F.array_distinct(
-        F.flatten(F.transform("_starts", lambda s: F.sequence(first + s, first + s + F.col("_span") - 1)))
-    )
-    return write_scratch(laid.select("_key", "_h", "_item", places.alias("_places")), "hits")
+    # Written: inside lambdas the words must be a stored column, or their computation is folded into every element.
+    here = write_scratch(here.dropDuplicates(["_key", "_h"]), "candidates")
+    own = F.least(F.size("_words"), F.lit(WINDOW))
+    theirs = items.select("_item", own.alias("_n"), F.explode(_windows(F.col("_words"), own)).alias("_text")).distinct()
+    theirs = write_scratch(theirs, "item-windows")
+    mine = None
+    for span in spans:
+        part = here.select(
+            "_key", "_h", F.lit(span).alias("_span"), F.posexplode(_windows(F.col("_words"), F.lit(span))).alias("_start", "_t")
+        )
+        mine = part if mine is None else mine.unionByName(part)
+    theirs = sized(theirs)
+    found = mine.join(theirs, (F.col("_t") == F.col("_text")) & (F.col("_span") == F.col("_n")))
+    return write_scratch(found.select("_key", "_h", "_item", "_start", "_span"), "hits")
 
 
 # Every window of an item is compared as a text; windows are joined to document windows of as many words.
