@@ -33,6 +33,22 @@ def message(device, index, x="1.5", ts="2018-07-09 12:00:00"):
     return json.dumps({"timestamp": ts, "X": x, "Y": "-2", "Z": "9.81", "id": device, "index": index})
 
 
+def test_live_run_with_a_processing_time_trigger(spark, tmp_path):
+    """Files that come while the query runs, taken every half second, until it is stopped."""
+    write_in_order(tmp_path / "in", [[message(1, 0), message(1, 1)]])
+    out = str(tmp_path / "out")
+    stream = deduplicated(accepted(decode(file_messages(spark, str(tmp_path / "in"), 1))))
+    run = start(stream, keyed_sink(out), str(tmp_path / "ck"), "500 milliseconds")
+    try:
+        run.processAllAvailable()
+        first = spark.read.parquet(out).count()
+        (tmp_path / "in" / "part-900.json").write_text(message(1, 2) + "\n")
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    assert first == 2 and read_keyed(spark, out, ["device_id", "index"]).count() == 3
+
+
 def write_in_order(path, names_and_lines):
     """Files whose modification times follow their order, as the file source reads them."""
     path.mkdir(exist_ok=True)

@@ -307,6 +307,37 @@ def features_agg_linear_trend(spark, d):
     return out.select("user_id", *[F.round(c, 9).alias(c) for c in ("slope", "intercept", "rvalue", "stderr")])
 
 
+@query(
+    "features_agg_linear_trend_of",
+    "SELECT * FROM "
+    + " JOIN ".join(
+        f"""(SELECT user_id, round(regr_slope(m, part), 9) AS slope_{name}, round(regr_intercept(m, part), 9) AS intercept_{name}
+             FROM (SELECT user_id, pos // 10 AS part, {fn}(value) AS m FROM ({_SEQ}) GROUP BY ALL) GROUP BY user_id) {name}s"""
+        + (" USING (user_id)" if i else "")
+        for i, (name, fn) in enumerate((("max", "max"), ("min", "min"), ("var", "var_pop")))
+    ),
+)
+def features_agg_linear_trend_of(spark, d):
+    """Trends of the extremes and of the variance of parts."""
+    df, out = positioned(spark, d, "value"), None
+    for name in ("max", "min", "var"):
+        trend = spectral.agg_linear_trend(df, ["user_id"], "value", of=name)
+        part = trend.select("user_id", *[F.round(c, 9).alias(f"{c}_{name}") for c in ("slope", "intercept")])
+        out = part if out is None else out.join(part, "user_id")
+    return out
+
+
+@query(
+    "features_fft_angle",
+    f"""SELECT user_id, round(degrees(atan2(-sum(value * sin(2 * pi() * pos / n)), sum(value * cos(2 * pi() * pos / n)))), 4) AS fft_1_angle,
+               round(degrees(atan2(-sum(value * sin(2 * pi() * (2 * pos % n) / n)), sum(value * cos(2 * pi() * (2 * pos % n) / n)))), 4) AS fft_2_angle
+        FROM ({_SEQ}) GROUP BY user_id""",
+)
+def features_fft_angle(spark, d):
+    out = spectral.fft_coefficients(positioned(spark, d, "value"), ["user_id"], "value", (1, 2))
+    return out.select("user_id", *[F.round(f"fft_{k}_angle", 4).alias(f"fft_{k}_angle") for k in (1, 2)])
+
+
 _ANGLE = "2 * pi() * ({k} * pos % n) / n"
 
 

@@ -122,18 +122,21 @@ def linear_trend(df: DataFrame, by: Sequence[str], value: str, pos: str = "pos")
     return fit.withColumn("stderr", stderr).drop("_n", "_mx", "_my", "_vx", "_vy", "_cov")
 
 
+_PART_AGGREGATES = {"mean": F.avg, "max": F.max, "min": F.min, "var": F.var_pop}
+
+
 def agg_linear_trend(
-    df: DataFrame, by: Sequence[str], value: str, part_rows: int = 10, pos: str = "pos"
+    df: DataFrame, by: Sequence[str], value: str, part_rows: int = 10, pos: str = "pos", of: str = "mean"
 ) -> DataFrame:
-    """Trend over the means of consecutive parts of ``part_rows`` rows."""
-    parts = df.groupBy(*by, chunk_of(pos, part_rows).alias("_part")).agg(F.avg(value).alias("_m"))
+    """Trend over an aggregate (mean, max, min or var) of consecutive parts of ``part_rows`` rows."""
+    parts = df.groupBy(*by, chunk_of(pos, part_rows).alias("_part")).agg(_PART_AGGREGATES[of](value).cast("double").alias("_m"))
     return linear_trend(parts, by, "_m", "_part")
 
 
 def fft_coefficients(
     df: DataFrame, by: Sequence[str], value: str, coefficients: Sequence[int] = (0, 1, 2), pos: str = "pos"
 ) -> DataFrame:
-    """Real part, imaginary part and modulus of single Fourier coefficients, as plain sums."""
+    """Real part, imaginary part, modulus and angle (in degrees) of single Fourier coefficients, as plain sums."""
     by = list(by)
     length = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     joined = attach(df.select(*by, pos, value), length, by, rows="_n")
@@ -144,9 +147,12 @@ def fft_coefficients(
         aggs.append(F.sum(F.col(value) * F.cos(angle)).alias(f"fft_{k}_real"))
         aggs.append((-F.sum(F.col(value) * F.sin(angle))).alias(f"fft_{k}_imag"))
     out = joined.groupBy(*by).agg(*aggs)
-    return out.withColumns(
+    out = out.withColumns(
         {f"fft_{k}_abs": F.sqrt(F.col(f"fft_{k}_real") ** 2 + F.col(f"fft_{k}_imag") ** 2) for k in coefficients}
     )
+    return out.withColumns(
+        {f"fft_{k}_angle": F.degrees(F.atan2(f"fft_{k}_imag", f"fft_{k}_real")) for k in coefficients}
+    )
 
 
 def permutation_entropy(
