@@ -109,6 +109,36 @@ def test_language_of_awkward_rows(spark, docs):
     assert language_id.identify_languages(awkward(spark).limit(0), model).count() == 0
 
 
+def test_letters_and_quotes(spark, docs):
+    """Only Unicode letters are letters, and a word's script is that of its letters."""
+    model = language_id.fit_languages(docs)
+    predict = lambda *texts: [r[0] for r in language_id._label(list(texts), model)]
+    assert predict("² ½ ³", "①②", "٣٤", "…—“”", "_ 1 _") == ["und"] * 5
+    plain = docs.filter("lang is not null and length(text) > 200").limit(20).collect()
+    quoted = [" ".join(f"“{w}”" if i % 2 else f"«{w}»" for i, w in enumerate(r.text.split())) for r in plain]
+    assert predict(*quoted) == predict(*[r.text for r in plain])
+    words = [language_id._words(b)[3].tolist() for b in language_id._pieces("“hello «bonjour ¿que ½x")]
+    assert words == [[1, 1, 1, 1]]
+
+
+def test_a_long_text_is_one_sequence():
+    """What a text is labelled does not depend on where it would be cut."""
+    rng = np.random.default_rng(6)
+    scores = rng.normal(size=(30_000, 2)).astype(np.float32)
+    scores[:, 1] += 0.01
+    got = language_id.viterbi(scores, np.array([0]), np.array([30_000]))
+    best, back = scores[0].astype(float), []
+    for row in scores[1:]:
+        jump = best[::-1] - language_id.PENALTY
+        back.append(np.where(jump > best, [1, 0], [0, 1]))
+        best = np.maximum(best, jump) + row
+    state, want = int(best.argmax()), []
+    for b in reversed(back):
+        want.append(state)
+        state = int(b[state])
+    assert got.tolist() == [*reversed([*want, state])]
+
+
 def test_language_spans(spark, docs):
     model = language_id.fit_languages(docs)
     by = {r["lang"]: r["text"] for r in docs.filter("length(text) > 800 and text not like '%!!%' and text not like '%$$%'").groupBy("lang").agg(F.min_by("text", "doc_id").alias("text")).collect()}

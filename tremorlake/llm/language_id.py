@@ -6,17 +6,17 @@ words of a text with languages, where each change of language costs ``PENALTY``;
 spans, and the language of the text is the one whose spans hold the most characters.
 
 Trigram counts are taken over all training texts in the tasks and summed by Spark; the model is a table of
-``TRIGRAMS`` hash buckets by language. Texts are labelled in stretches of up to ``STRETCH`` words.
+``TRIGRAMS`` hash buckets by language. A text is labelled as one sequence, whatever its length.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +24,6 @@ from .common import fold_of, query, table, text_of
 
 TRIGRAMS = 1 << 14
 PENALTY = 12.0
-STRETCH = 8_192
-LEAST_SHARE = 0.01
 FOLDS, HELD_OUT = 3, 1
 #: First code point of a block, and its script (0: no letters).
 SCRIPTS = (
@@ -37,7 +35,8 @@ _STARTS = np.array([s for s, _ in SCRIPTS])
 _NAMES = np.array([n for _, n in SCRIPTS])
 N_SCRIPTS = 18
 _PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+#: Beyond ASCII a word consists of letters and the marks on them; quotes, dashes and the like part words.
+_BETWEEN = regex.compile(r"[^\p{L}\p{M}\x00-\x7F]+")
 _PIECE = 1 << 20
 
 
@@ -61,8 +60,8 @@ def _words(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 
 def _pieces(text: str) -> Iterator[bytes]:
-    """Lower-case bytes of the text, other ASCII than letters as spaces, cut at spaces."""
-    data = text.lower().encode("utf-8", "replace").translate(_PLAIN)
+    """Lower-case bytes of the text, everything but letters as spaces, cut at spaces."""
+    data = _BETWEEN.sub(" ", text.lower()).encode("utf-8", "replace").translate(_PLAIN)
     at = 0
     while at < len(data):
         end = len(data)
@@ -112,7 +111,8 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang") -> La
         whole[r["slot"], where[r["lang"]]] = r["n"]
     scripts, grams = whole[:N_SCRIPTS], whole[N_SCRIPTS:]
     log_p = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * TRIGRAMS)).astype(np.float32)
-    allowed = scripts >= LEAST_SHARE * np.maximum(scripts.sum(axis=0), 1)
+    # Every language seen in a script may label its words; how likely that is, the trigrams say.
+    allowed = scripts > 0
     allowed[0] = False
     return Languages(names, log_p, allowed)
 
@@ -170,9 +170,7 @@ def _label(texts: list[str | None], model: Languages) -> list[tuple[str, float,
         score, char, of = np.concatenate(scores), np.concatenate(chars), np.concatenate(doc)
         edge = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
         lengths = np.diff(np.append(edge, len(of)))
-        cut = [np.arange(s, s + m, STRETCH) for s, m in zip(edge, lengths)]
-        begin = np.concatenate(cut)
-        label = viterbi(score, begin, np.diff(np.append(begin, len(of))))
+        label = viterbi(score, edge, lengths)
         held = np.bincount(of * n + label, weights=char, minlength=len(texts) * n).reshape(len(texts), n)
         first = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (label[1:] != label[:-1]))))
         last = np.append(first[1:], len(of)) - 1
@@ -185,7 +183,7 @@ def _label(texts: list[str | None], model: Languages) -> list[tuple[str, float,
     else:
         held, spans = np.zeros((len(texts), n)), [[] for _ in texts]
     for i, text in enumerate(texts):
-        if text is None or not n or not _LETTER.search(text):
+        if text is None or not n or not any(map(str.isalpha, text)):
             out.append(("und", 0.0, []))
         else:
             total = held[i].sum()
@@ -197,8 +195,10 @@ def _label(texts: list[str | None], model: Languages) -> list[tuple[str, float,
 def identify_languages(docs: DataFrame, model: Languages, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` with lang_pred, score and spans.
 
-    Null text, text without a letter and a model without languages give und, score 0 and no span; a text
-    only in unknown scripts gets the first language with score 0. Repeated rows get equal results.
+    Null text, text without a letter (Unicode category L) and a model without languages give und, score 0 and no
+    span; a text only in unknown scripts gets the first language with score 0. A very long text is one sequence, and
+    takes memory in proportion. Repeated rows get equal results, other columns are not read, and an empty table
+    gives an empty result.
     """
     rows = docs.select(*keep, F.col(text).alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
