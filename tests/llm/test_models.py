@@ -323,6 +323,20 @@ def test_slots_outside_the_article_are_kept(spark):
     assert {r["page_id"]: r["text"] for r in html_text.extract_text(pages).collect()} == {i: f"intro {i}\n\nin {i}" for i in range(8)}
 
 
+def test_copies_and_empty_pages_do_not_make_the_template(spark):
+    """A page that a host shows nine times keeps its article, and empty pages are no exemplars."""
+    page = "<body><div><p>Same boilerplate</p></div><div><p>in %d</p></div></body>"
+    pages = [(i, f"http://a.example/{i}", page % min(i, 6)) for i in range(16)]
+    pages += [(100 + i, f"http://b.example/{i}", page % i) for i in range(7)]
+    pages += [(200 + i, "http://b.example/empty", e) for i, e in enumerate(("", " \n", None) * 20)]
+    pages += [(300, "http://c.example/", None)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(frame).collect()}
+    assert len(got) == len(pages)
+    assert all(got[i] == f"in {min(i, 6)}" for i in range(16)) and all(got[100 + i] == f"in {i}" for i in range(7))
+    assert all(got[i] == "" for i in got if i >= 200)
+
+
 def test_simple_tree_matching():
     a = html_text.parse("<div><p>1</p><ul><li>x</ul><p>2</p></div>")
     b = html_text.parse("<div><p>1</p><p>2</p></div>")

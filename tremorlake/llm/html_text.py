@@ -14,6 +14,7 @@ third of all pages is no problem. Exemplars are broadcast if their measured size
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -177,10 +178,6 @@ def parse(html: str | None) -> Node:
     return tree.root
 
 
-def _size(node: Node) -> int:
-    return 1 + sum(map(_size, node.children))
-
-
 def align(page: Node, exemplar: Node) -> list[tuple[Node, Node]]:
     """Pairs of matching nodes under two roots of equal label, by simple tree matching."""
     known: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
@@ -228,9 +225,8 @@ def align(page: Node, exemplar: Node) -> list[tuple[Node, Node]]:
 
 
 @lru_cache(maxsize=256)
-def _exemplar(html: str) -> tuple[Node, int]:
-    root = parse(html)
-    return root, _size(root)
+def _exemplar(html: str) -> Node:
+    return parse(html)
 
 
 def main_text(root: Node, template: set[int], judged: bool = False) -> str:
@@ -266,56 +262,56 @@ def main_text(root: Node, template: set[int], judged: bool = False) -> str:
 def induce_wrappers(pages: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Rows (_host, _exemplar, _template): a page of each host and the numbers of its template nodes.
 
-    The numbers are null where no text node has ``LEAST_PAGES`` pages. ``pages`` has _id, _host and _html. A text node is template if at least ``LEAST_PAGES`` pages match it
-    and at least ``TEMPLATE_SHARE`` of those carry its text.
+    The numbers are null where no text node has ``LEAST_PAGES`` pages. ``pages`` has _id, _host and _html; empty pages
+    take no part, and a host that has no others has no row. A text node is template if at least ``LEAST_PAGES``
+    different pages match it and at least ``TEMPLATE_SHARE`` of those carry its text. Copies of a page count as one, so
+    that an article that a host shows many times is not taken for its template.
     """
+    pages = pages.filter(F.length(F.trim("_html")) > 0)
     order = F.struct(F.xxhash64("_id"), F.col("_id"), F.xxhash64("_html"))
     exemplars = pages.groupBy("_host").agg(F.min_by("_html", order).alias("_exemplar"))
     exemplars = write_scratch(exemplars, "exemplars")
     small = measured_bytes(exemplars) <= limit
     met = pages.join(F.broadcast(exemplars) if small else exemplars, "_host").select("_host", "_html", "_exemplar")
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, np.ndarray] = {}
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: set[tuple[str, bytes]] = set()
         for batch in batches:
+            rows = []
             for host, html, model in zip(batch["_host"], batch["_html"], batch["_exemplar"]):
-                root, size = _exemplar(model)
-                if host not in seen:
-                    seen[host] = np.zeros((2, size), np.int64)
-                for a, b in align(parse(html), root):
-                    if b.label == "#":
-                        seen[host][0, b.number] += 1
-                        seen[host][1, b.number] += a.text == b.text
-            if len(seen) > 2_000:
-                yield _rows(seen)
-                seen.clear()
-        yield _rows(seen)
-
-    counted = met.mapInPandas(count, "_host string, node int, n bigint, same bigint")
-    counted = counted.groupBy("_host", "node").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
+                page = hashlib.blake2b(html.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                if (host, page) in done:
+                    continue
+                if len(done) >= 100_000:  # what is seen again later goes below
+                    done.clear()
+                done.add((host, page))
+                pairs = [(b.number, a.text == b.text) for a, b in align(parse(html), _exemplar(model)) if b.label == "#"]
+                rows.append((host, page, [n for n, _ in pairs], [s for _, s in pairs]))
+            yield pd.DataFrame(rows, columns=["_host", "page", "node", "same"])
+
+    judged = met.mapInPandas(judge, "_host string, page binary, node array<int>, same array<boolean>")
+    judged = judged.dropDuplicates(["_host", "page"]).select("_host", F.inline(F.arrays_zip("node", "same")))
+    counted = judged.groupBy("_host", "node").agg(F.count(F.lit(1)).alias("n"), F.count_if("same").alias("same"))
     constant = F.when(F.col("same") >= TEMPLATE_SHARE * F.col("n"), F.col("node"))
     # As many numbers as the exemplar has nodes.
     template = counted.filter(F.col("n") >= LEAST_PAGES).groupBy("_host").agg(F.sort_array(F.collect_list(constant)).alias("_template"))
     return write_scratch(exemplars.join(template, "_host", "left"), "wrappers")
 
 
-def _rows(seen: dict[str, np.ndarray]) -> pd.DataFrame:
-    got = [(h, int(i), int(c[0, i]), int(c[1, i])) for h, c in seen.items() for i in np.flatnonzero(c[0])]
-    return pd.DataFrame(got, columns=["_host", "node", "n", "same"]).astype({"node": "int32", "n": "int64", "same": "int64"})
-
-
 def extract_text(pages: DataFrame, html: str = "html", url: str = "url", key: str = "page_id", limit: int = BROADCAST_BYTES) -> DataFrame:
     """One row per row of ``pages``: ``key``, ``url``, text, n_chars and n_template (text nodes left out as constant).
 
     Null html counts as empty; its text is empty. A null url is a host of its own. Pages of hosts with
-    too few pages give the text of their article or main element, or without one that of the whole page, without
-    the marked parts. Repeated rows repeat.
+    too few different pages give the text of their article or main element, or without one that of the whole page,
+    without the marked parts. Repeated rows repeat and get equal texts. A very long page is parsed and aligned whole,
+    in time by the square of its longest list of children. An empty table gives an empty result, and other
+    columns are not read.
     """
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit("")))
     rows = pages.select(F.col(key).alias("_id"), F.col(url).alias("_url"), host.alias("_host"), F.coalesce(F.col(html), F.lit("")).alias("_html"))
     kind = dict(rows.dtypes)
     wrappers = induce_wrappers(rows, limit)
-    met = rows.join(F.broadcast(wrappers) if measured_bytes(wrappers) <= limit else wrappers, "_host")
+    met = rows.join(F.broadcast(wrappers) if measured_bytes(wrappers) <= limit else wrappers, "_host", "left")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -324,7 +320,7 @@ def extract_text(pages: DataFrame, html: str = "html", url: str = "url", key: st
                 root, out = parse(page), set()
                 if template is not None and len(template):
                     constant = set(map(int, template))
-                    out = {a.number for a, b in align(root, _exemplar(model)[0]) if b.number in constant and a.text == b.text}
+                    out = {a.number for a, b in align(root, _exemplar(model)) if b.number in constant and a.text == b.text}
                 texts.append(main_text(root, out, template is not None))
                 left.append(len(out))
             yield pd.DataFrame({"_id": batch["_id"], "_url": batch["_url"], "text": texts, "n_chars": [len(t) for t in texts], "n_template": left})
