@@ -177,15 +177,15 @@ def _forest_sql(x, key, trees=100, rows=256, seed=43):
           LEFT JOIN n1 ON n1.tree = n0.tree AND n1.node = CASE WHEN v.x < n0.cut THEN 2 ELSE 3 END
           LEFT JOIN n2 ON n2.tree = n0.tree AND n2.node = 2 * n1.node + CASE WHEN v.x < n1.cut THEN 0 ELSE 1 END),
     psi AS (SELECT max(size) AS psi FROM n0),
-    s AS (SELECT x, round(pow(2.0, -avg(h) / any_value({_C.format(n="psi")})), 9) AS score FROM p, psi GROUP BY x),
+    s AS (SELECT x, pow(2.0, -avg(h) / any_value({_C.format(n="psi")})) AS score FROM p, psi GROUP BY x),
     scored AS (SELECT x.*, score FROM x JOIN s USING (x)),
-    q AS (SELECT quantile_disc(score, 0.985) AS q FROM scored)"""
+    q AS (SELECT quantile_disc(round(score, 9), 0.985) AS q FROM scored)"""
 
 
 @query(
     "iforest_anomalies",
     f"""WITH {_forest_sql(f"SELECT event_id, zround AS x FROM ({_SMOOTHED})", "event_id")}
-        SELECT event_id, round(score, 6) AS score, CAST(score > q AS DOUBLE) AS prediction FROM scored, q""",
+        SELECT event_id, round(score, 6) AS score, CAST(round(score, 9) > q AS DOUBLE) AS prediction FROM scored, q""",
 )
 def iforest_events(spark, d):
     df = write_scratch(smoothed(spark, d).select("event_id", F.array("zround").alias("x")), "smoothed")
@@ -204,9 +204,9 @@ def iforest_events(spark, d):
                    LEFT JOIN n1 USING (tree) LEFT JOIN n2 USING (tree)
                    WHERE (n1.node IS NULL OR n1.node = CASE WHEN value < n0.cut THEN 2 ELSE 3 END)
                      AND (n2.node IS NULL OR NOT n1.splits OR n2.node = 2 * n1.node + CASE WHEN value < n1.cut THEN 0 ELSE 1 END)),
-        final AS (SELECT event_id, round(pow(2.0, -avg(h) / any_value({_C.format(n="psi")})), 9) AS score
+        final AS (SELECT event_id, pow(2.0, -avg(h) / any_value({_C.format(n="psi")})) AS score
                   FROM (SELECT DISTINCT event_id, tree, h FROM walked), psi GROUP BY event_id)
-        SELECT event_id, round(score, 6) AS score, CAST(score > q AS DOUBLE) AS prediction FROM final, q""",
+        SELECT event_id, round(score, 6) AS score, CAST(round(score, 9) > q AS DOUBLE) AS prediction FROM final, q""",
 )
 def iforest_stored(spark, d):
     """A forest of the first half, stored, loaded, and applied to all readings by its stored threshold."""
