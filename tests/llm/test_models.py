@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -344,6 +346,37 @@ def test_simple_tree_matching():
     assert sorted(p for p in pairs if p[0] == "#") == [("#", "1", "1"), ("#", "2", "2")]
 
 
+def brute_matching(a, b):
+    """Most nodes of an order-keeping matching of two trees."""
+    if a.label != b.label:
+        return 0
+    best = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, x in enumerate(a.children):
+        for j, y in enumerate(b.children):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + brute_matching(x, y))
+    return 1 + best[-1][-1]
+
+
+def test_matching_pairs_as_many_nodes_as_any():
+    rng = random.Random(9)
+
+    def tree(depth):
+        return "".join(f"<{t}>{tree(depth - 1) if depth else 'x'}</{t}>" for t in rng.choices(("div", "ul", "p"), k=rng.randint(0, 4)))
+
+    for _ in range(150):
+        a, b = html_text.parse(tree(3)), html_text.parse(tree(3))
+        pairs = html_text.align(a, b)
+        assert len(pairs) == brute_matching(a, b) and all(x.label == y.label for x, y in pairs)
+        assert len({x.number for x, _ in pairs}) == len({y.number for _, y in pairs}) == len(pairs)
+
+
+def test_a_list_of_ten_thousand_items():
+    page = lambda n, k: html_text.parse("<ul>" + "".join(f"<li><p>{i}<p>b" for i in range(n)) + f"</ul><div><p>{k}</div>" * k)
+    begin = time.monotonic()
+    pairs = html_text.align(page(10_000, 3), page(9_000, 2))
+    assert time.monotonic() - begin < 5 and len(pairs) == 2 + 9_000 * 5 + 2 * 3
+
+
 def test_pages_give_the_text_of_their_documents(spark, docs):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     for r in QUERIES["op2_wrapper_induction"](spark, SF).collect():
