@@ -218,11 +218,51 @@ def iforest_stored(spark, d):
     return out.select("event_id", F.round("score", 6).alias("score"), "prediction")
 
 
-@query("iforest_embeddings")
+def _vector_forest_sql(depth, size=64, trees=100, rows=256, seed=43):
+    """A forest over ``embeddings``, grown and walked level by level; for tables of up to trees * rows rows, and above."""
+    key, cut = (_unit_sql(f"concat_ws(':', {seed}, tree, node, '{of}')") for of in ("feature", "cut"))
+    parts = [
+        f"""x AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+            few AS (SELECT tree, e, row_number() OVER (PARTITION BY tree ORDER BY t, vec_id) AS r FROM (
+                      SELECT *, {_unit_sql(f"concat_ws(':', {seed}, tree, vec_id)")} AS t FROM x, range(0, {trees}) k(tree)
+                      WHERE (SELECT count(*) FROM x) <= {trees * rows})),
+            many AS (SELECT (row_number() OVER (ORDER BY t, vec_id) - 1) AS turn, e FROM (
+                       SELECT *, {_unit_sql(f"concat_ws(':', {seed}, vec_id)")} AS t FROM x WHERE (SELECT count(*) FROM x) > {trees * rows})),
+            d0 AS MATERIALIZED (SELECT tree, 1 AS node, e FROM few WHERE r <= {rows}
+                   UNION ALL SELECT turn % {trees}, 1, e FROM many WHERE turn < {trees * rows}),
+            w0 AS MATERIALIZED (SELECT vec_id, tree, 1 AS node, CAST(NULL AS DOUBLE) AS h FROM x, range(0, {trees}) k(tree))"""
+    ]
+    for level in range(depth + 1):
+        ends = f"{level} + {_C.format(n='size')}"
+        parts.append(
+            f"""n{level} AS MATERIALIZED (
+                  SELECT tree, node, size, f, c, size > 1 AND f IS NOT NULL AND c > lo[f] AND {level} < {depth} AS splits FROM (
+                    SELECT *, lo[f] + {cut} * (hi[f] - lo[f]) AS c FROM (
+                      SELECT *, usable[1 + CAST(floor({key} * len(usable)) AS BIGINT)] AS f FROM (
+                        SELECT *, list_filter(range(1, {size + 1}), lambda j: hi[j] > lo[j]) AS usable FROM (
+                          SELECT tree, node, max(n) AS size, list(lo ORDER BY j) AS lo, list(hi ORDER BY j) AS hi FROM (
+                            SELECT tree, node, j, count(*) AS n, min(e[j]) AS lo, max(e[j]) AS hi FROM d{level}, range(1, {size + 1}) t(j)
+                            GROUP BY tree, node, j) GROUP BY tree, node)))))"""
+        )
+        step = "CASE WHEN e[f] < c THEN 2 * node ELSE 2 * node + 1 END"
+        parts.append(f"d{level + 1} AS MATERIALIZED (SELECT tree, {step} AS node, e FROM d{level} JOIN n{level} USING (tree, node) WHERE splits)")
+        parts.append(
+            f"""w{level + 1} AS MATERIALIZED (
+                  SELECT w.vec_id, tree, CASE WHEN splits THEN {step} ELSE node END AS node,
+                         CASE WHEN h IS NULL AND NOT splits THEN {ends} ELSE h END AS h
+                  FROM w{level} w JOIN x USING (vec_id) LEFT JOIN n{level} USING (tree, node))"""
+        )
+    return f"""WITH {", ".join(parts)}, psi AS (SELECT max(size) AS psi FROM n0),
+               s AS (SELECT vec_id, pow(2.0, -avg(h) / any_value({_C.format(n="psi")})) AS score FROM w{depth + 1}, psi GROUP BY vec_id),
+               q AS (SELECT quantile_disc(round(score, 9), 0.985) AS q FROM s)
+               SELECT vec_id, round(score, 6) AS score, CAST(round(score, 9) > q AS DOUBLE) AS prediction FROM s, q"""
+
+
+@query("iforest_embeddings", _vector_forest_sql(8))
 def iforest_embeddings(spark, d):
     df = table(spark, d, "embeddings").select("vec_id", "embedding")
     out, _ = fit_predict_forest(df, "embedding", ["vec_id"], max_depth=8)
-    return out.select("vec_id", "score", "prediction")
+    return out.select("vec_id", F.round("score", 6).alias("score"), "prediction")
 
 
 def event_windows(spark, d):
