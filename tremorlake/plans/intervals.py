@@ -57,14 +57,16 @@ def asof_join(
     marks = write_scratch(marks, "marks")
     found = F.col("_found")
     if measured_bytes(marks.select(*names, "_mark.*")) <= limit:
-        lists = write_scratch(marks.groupBy(*names).agg(F.sort_array(F.collect_list("_mark")).alias("_marks")), "lists")
+        lists = marks.groupBy(*names).agg(F.sort_array(F.collect_list("_mark")).alias("_marks"))
+        # The times as a stored array of their own: taken from the marks, they would be copied for every reading.
+        lists = write_scratch(lists.withColumn("_ats", F.col("_marks._at")), "lists")
         longest = lists.agg(F.max(F.size("_marks"))).first()[0] or 0
         if keys:
             same = [F.col(k) == F.col(n) for k, n in zip(keys, names)]
             met = left.join(F.broadcast(lists), same, "left")
         else:
             met = attach_scalar(left, lists)
-        place = count_at_most(F.col("_marks._at"), F.col(left_at), longest.bit_length())
+        place = count_at_most(F.col("_ats"), F.col(left_at), longest.bit_length())
         met = met.withColumn("_found", F.get("_marks", place - 1))
     else:
         rows = left.withColumns({n: F.col(k) for k, n in zip(keys, names)})
