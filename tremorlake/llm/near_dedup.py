@@ -243,9 +243,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     live = nodes.select("id", "n", "regs", "odd", "s0", "s1", "s2").join(wanted, "id").join(own, "id", "left")
     live = live.withColumn("m", F.col("n") - F.coalesce("_own", F.lit(0))).filter("4 * m >= 3 * n").drop("_own")
     live = write_scratch(live, "live")
-    # Centres: the smallest id of a band; of several, those that share the most bands.
+    # Centres: the candidate of a band with the smallest share of shingles of its own, which lies in the middle of its
+    # copies, so that most of them are linked with it; of several, those that share the most bands.
     close = write_scratch(_shared(shared.join(live.select("id").distinct(), "id", "left_semi")), "close")
-    centre = close.groupBy("band").agg(F.min("id").alias("b"))
+    own_share = (F.col("n") - F.col("m")) / F.col("n")
+    middle = live.select("id", own_share.alias("_own"))
+    centre = close.join(middle, "id").groupBy("band").agg(F.min(F.struct("_own", "id")).alias("_c")).select("band", F.col("_c.id").alias("b"))
     met = close.join(centre, "band").filter("id <> b").groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("_c"))
     best = Window.partitionBy("a").orderBy(F.desc("_c"), "b")
     stars = met.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= CENTRES).select("a", "b")
