@@ -299,3 +299,94 @@ def test_only_changed_buckets_are_written(bucket):
     windows = np.lib.stride_tricks.sliding_window_view(mean, 5)[:-1]
     assert out["index"].tolist() == list(range(7, 400))
     assert np.allclose(out["loss"], np.abs(windows - windows.mean(axis=1, keepdims=True)).mean(axis=1))
+
+
+class Times:
+    """Watermark and state of one device as Spark runs them: a timer is a set member and goes once it has fired."""
+
+    def __init__(self, scorer):
+        self.mark, self.calls, self.state, self.scorer, self.out = 0, 0, self, scorer, []
+        self.map, self.value, self.timers = {}, None, set()
+        scorer.init(self)
+
+    def getCurrentWatermarkInMs(self):
+        return self.mark
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def counted(name):  # noqa: N805
+        def call(self, *a):
+            self.calls += 1
+            return {
+                "exists": lambda: self.value is not None, "get": lambda: self.value, "keys": lambda: iter(list(self.map)),
+                "update": lambda v: setattr(self, "value", v), "getValue": lambda k: self.map[k],
+                "updateValue": lambda k, v: self.map.update({k: v}), "removeKey": lambda k: self.map.pop(k),
+                "registerTimer": lambda t: self.timers.add(t), "deleteTimer": lambda t: self.timers.discard(t),
+            }[name](*a)
+
+        return call
+
+    exists, get, keys, update, getValue = map(counted, ("exists", "get", "keys", "update", "getValue"))
+    updateValue, removeKey, registerTimer, deleteTimer = map(counted, ("updateValue", "removeKey", "registerTimer", "deleteTimer"))
+
+    def batch(self, idx, at, val):
+        import pandas as pd
+
+        self.out += list(self.scorer.handleInputRows(("x",), iter([pd.DataFrame({"idx": idx, "at": at, "val": val})]), self))
+
+    def advance(self, mark):
+        self.mark = mark
+        for timer in sorted(t for t in self.timers if t < mark):
+            self.out += list(self.scorer.handleExpiredTimer(("x",), self, None))
+            self.timers.discard(timer)
+
+
+class Mean5:
+    def reconstruct(self, x):
+        return np.repeat(x.mean(axis=1, keepdims=True), x.shape[1], axis=1)
+
+
+def test_sparse_readings_cost_few_state_calls():
+    """Thirty buckets of two readings: not some calls per bucket, and no frame without rows."""
+    day = 86_400_000
+    at = day + np.arange(60) * day // 2
+    times = Times(OrderedScorer(Mean5(), "d", 0.5, 3, 5, day))
+    times.batch(np.arange(60), at, np.random.default_rng(3).normal(size=60))
+    assert times.calls <= 6 and not times.out
+    assert len(times.map) == 1 and times.timers == {day + 1}
+    times.advance(32 * day)
+    assert times.calls <= 14 and [len(p) for p in times.out] == [53]
+    assert not times.map and not times.timers
+
+
+@pytest.mark.parametrize("most", [1, 5, 1024])
+@pytest.mark.parametrize("bucket", [1, 7, 50, 100_000])
+def test_runs_release_all_that_is_due(monkeypatch, bucket, most):
+    """Readings out of order and with equal times, runs cut by the watermark: each is released once it is due."""
+    import pandas as pd
+
+    from tremorlake.streaming import stateful
+
+    monkeypatch.setattr(stateful, "RUN_READINGS", most, raising=False)
+    rng = np.random.default_rng(bucket + most)
+    n, values = 300, rng.normal(size=300)
+    at = np.arange(n) // 2 * 3
+    come = np.argsort(np.arange(n) + rng.uniform(0, 24, n))
+    times, seen = Times(OrderedScorer(Mean5(), "d", 0.5, 3, 5, bucket)), 0
+    for rows in np.split(come, sorted(rng.choice(np.arange(1, n), 25, replace=False))):
+        times.batch(rows, at[rows], values[rows])
+        seen = max(seen, at[rows].max())
+        times.advance(seen - 40)
+        assert all(v[0] + 1 in times.timers and v[0] == min(v[2]) for v in times.map.values())
+        assert all(v[0] + 1 >= times.mark for v in times.map.values())
+    assert times.out
+    times.advance(10_000)
+    assert not times.map and not times.timers
+    out = pd.concat(times.out)
+    windows = np.lib.stride_tricks.sliding_window_view(np.convolve(values, np.ones(3) / 3, "valid"), 5)[:-1]
+    assert out["index"].tolist() == list(range(7, n))
+    assert np.allclose(out["loss"], np.abs(windows - windows.mean(axis=1, keepdims=True)).mean(axis=1))

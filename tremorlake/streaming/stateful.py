@@ -26,11 +26,22 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+#: A run of readings that lie in the state together takes further buckets up to this many readings.
+RUN_READINGS = 1024
+
+_FIELDS = ("idx", "at", "val")
+_KINDS = (np.int64, np.int64, np.float64)
+
+
 class OrderedScorer(StatefulProcessor):
-    """Waiting readings lie in a map from time bucket to readings, with one timer per bucket.
+    """Waiting readings lie in a map of runs, each under the time bucket of its earliest reading, with a timer for it.
 
-    A batch rewrites the buckets that it brings readings for, and a release takes those that the watermark has
-    reached; no other bucket is read or written, however many wait.
+    A run holds the readings of a batch from whole buckets, of as many as it takes for ``RUN_READINGS``: a sparse
+    device costs a few calls to the state store per batch, not some per bucket. A bucket that is a run's key
+    already is added to that run, and nothing else is.
+
+    A batch rewrites the runs whose buckets it brings readings for, and a release takes those that the watermark has
+    reached; no other run is written, however many wait. What a release leaves of a run stays under its key.
     """
 
     def __init__(self, model, device: str, threshold: float, smooth: int, steps: int, bucket_ms: int):
@@ -45,78 +56,89 @@ class OrderedScorer(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        come = pd.concat([p[["idx", "at", "val"]] for p in rows])
+        come = self._come(rows)
         known = {k[0] for k in self.waiting.keys()}
-        for bucket, part in come.groupby(come["at"] // self.bucket_ms):
-            held = self.waiting.getValue((int(bucket),)) if bucket in known else None
-            self._put(int(bucket), held, self._rows(part["idx"], part["at"], part["val"]))
-            known.add(int(bucket))
-        yield self._release(key, timerValues, known)
+        for bucket, run in self._runs(come, known):
+            self._put(bucket, self.waiting.getValue((bucket,)) if bucket in known else None, run)
+            known.add(bucket)
+        yield from self._release(key, timerValues, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._release(key, timerValues, {k[0] for k in self.waiting.keys()})
+        yield from self._release(key, timerValues, {k[0] for k in self.waiting.keys()})
 
     @staticmethod
-    def _rows(idx, at, val) -> list[tuple[int, int, float]]:
-        return [(int(i), int(t), float(v)) for i, t, v in zip(idx, at, val)]
-
-    def _put(self, bucket: int, held, rows: list[tuple[int, int, float]]) -> None:
-        """Add rows to what a bucket holds; its timer is that of its first reading."""
-        before = held[0] if held else None
-        rows = (self._rows(*held[1:]) if held else []) + rows
-        first = min(r[1] for r in rows)
-        if first != before:
-            if held:
-                self.handle.deleteTimer(before + 1)
+    def _come(rows: Iterator[pd.DataFrame]) -> list[np.ndarray]:
+        """The columns of the readings that have a time, in its order."""
+        parts = [[p[c].to_numpy() for c in _FIELDS] for p in rows]
+        idx, at, val = (np.concatenate(c) for c in zip(*parts))
+        timed = ~pd.isna(at)
+        if pd.isna(idx[timed]).any():
+            raise ValueError("a reading has no index")
+        columns = [c[timed].astype(kind) for c, kind in zip((idx, at, val), _KINDS)]
+        order = np.argsort(columns[1], kind="stable")
+        return [c[order] for c in columns]
+
+    def _runs(self, come: list[np.ndarray], known: set[int]) -> list[tuple[int, list[np.ndarray]]]:
+        """Readings in the order of time, cut at buckets, by the first bucket of each run."""
+        keys, cuts = [], []
+        for bucket, at in zip(*(x.tolist() for x in np.unique(come[1] // self.bucket_ms, return_index=True))):
+            if not keys or bucket in known or keys[-1] in known or at - cuts[-1] >= RUN_READINGS:
+                keys.append(bucket)
+                cuts.append(at)
+        return [(k, [c[a:b] for c in come]) for k, a, b in zip(keys, cuts, [*cuts[1:], len(come[1])])]
+
+    def _put(self, bucket: int, held, run: list[np.ndarray]) -> None:
+        """Add readings to what a bucket holds; its timer is that of its first reading.
+
+        A later timer stays when an earlier reading comes, since what is left of another run may wait for it too.
+        """
+        if held:
+            run = [np.concatenate((np.asarray(h, kind), c)) for h, c, kind in zip(held[1:], run, _KINDS)]
+        first = int(run[1].min())
+        if not held or first != held[0]:
             self.handle.registerTimer(first + 1)
-        self.waiting.updateValue((bucket,), (first, *map(list, zip(*rows))))
+        self.waiting.updateValue((bucket,), (first, *(c.tolist() for c in run)))
 
-    def _release(self, key, timerValues, known: set[int]) -> pd.DataFrame:
+    def _release(self, key, timerValues, known: set[int]) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
         ready = []
         for bucket in sorted(b for b in known if b * self.bucket_ms <= mark):
             held = self.waiting.getValue((bucket,))
             if held[0] > mark:
                 continue
-            rows = self._rows(*held[1:])
-            rest = [r for r in rows if r[1] > mark]
-            ready += [r for r in rows if r[1] <= mark]
+            run = [np.asarray(h, kind) for h, kind in zip(held[1:], _KINDS)]
+            due = run[1] <= mark
+            ready.append([c[due] for c in run])
             self.handle.deleteTimer(held[0] + 1)
-            if rest:  # only the bucket that the watermark lies in
-                self._put(bucket, None, rest)
-            else:
+            if due.all():
                 self.waiting.removeKey((bucket,))
-        return self._score(key, sorted(ready))
-
-    def _score(self, key, ready) -> pd.DataFrame:
+            else:  # only a run that the watermark lies in
+                self._put(bucket, None, [c[~due] for c in run])
+        if ready:
+            idx, at, val = (np.concatenate(c) for c in zip(*ready))
+            order = np.lexsort((val, at, idx))
+            yield from self._score(key, idx[order], val[order])
+
+    def _score(self, key, idx: np.ndarray, val: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Losses of the readings that continue the series, of the first one for each index."""
         context = self.smooth - 1 + self.steps
-        last, tail = -1, []
-        if self.tail.exists():
-            last, tail = self.tail.get()
-            tail = list(tail)
-        ids, values = [], list(tail)
-        for idx, _, value in ready:
-            if idx > last:
-                ids.append(idx)
-                values.append(value)
-                last = idx
-        if ids:
-            self.tail.update((last, values[-context:]))
-        out = {self.device: [], "index": [], "loss": [], "label": []}
-        if ids and len(values) > context:
-            x = np.asarray(values)
-            mean = np.lib.stride_tricks.sliding_window_view(x, self.smooth).mean(axis=1)
-            windows = np.lib.stride_tricks.sliding_window_view(mean, self.steps)[:-1]
-            loss = np.abs(self.model.reconstruct(windows) - windows).mean(axis=1)
-            scored = ids[-len(loss) :]
-            loss = loss[-len(scored) :]
-            out = {
-                self.device: [key[0]] * len(scored),
-                "index": scored,
-                "loss": loss,
-                "label": (loss > self.threshold).astype("int32"),
-            }
-        return pd.DataFrame(out)
+        last, tail = self.tail.get() if self.tail.exists() else (-1, [])
+        new = (idx > last) & np.append(True, idx[1:] != idx[:-1])
+        ids, x = idx[new], np.concatenate((np.asarray(tail, float), val[new]))
+        if not len(ids):
+            return
+        self.tail.update((int(ids[-1]), x[-context:].tolist()))
+        if len(x) <= context:
+            return
+        mean = np.lib.stride_tricks.sliding_window_view(x, self.smooth).mean(axis=1)
+        windows = np.lib.stride_tricks.sliding_window_view(mean, self.steps)[:-1]
+        loss = np.abs(self.model.reconstruct(windows) - windows).mean(axis=1)[-len(ids) :]
+        yield pd.DataFrame({
+            self.device: [key[0]] * len(loss),
+            "index": ids[-len(loss) :],
+            "loss": loss,
+            "label": (loss > self.threshold).astype("int32"),
+        })
 
     def close(self) -> None:
         pass
@@ -138,7 +160,8 @@ def score_ordered(
     """Losses and labels of a stream of standardised readings, in index order per device.
 
     ``model`` has ``reconstruct(matrix) -> matrix`` over windows of ``steps`` values. Readings wait in buckets of
-    ``bucket_seconds``; about as long as what a batch brings per device is a good size. It changes no result.
+    ``bucket_seconds``; about as long as what a batch brings per device is a good size, and buckets that are too
+    short for the readings of a batch are joined to runs. It changes no result.
     """
     kind = stream.schema[device].dataType.simpleString()
     rows = stream.withWatermark(ts, delay).selectExpr(
