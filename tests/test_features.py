@@ -205,3 +205,47 @@ def test_near_windows_grow_almost_in_proportion(monkeypatch):
         ranges.near_counts(np.lib.stride_tricks.sliding_window_view(np.random.default_rng(n).normal(size=n + 2), 3), 0.2)
         each.append(sum(seen) / n)
     assert each[2] < 2 * each[0]  # pairs would take four times as many
+
+
+def test_near_windows_of_one_matrix():
+    """Equal to comparing the windows pair by pair, with and without the matrix of gaps."""
+    rng = np.random.default_rng(2)
+    room = np.empty(ranges.ALL_PAIRS**2)
+    for x in (rng.normal(size=ranges.ALL_PAIRS), rng.integers(0, 9, 60) * 0.1, np.zeros(5), np.array([1.0, np.nan, 1.0, np.inf, np.inf])):
+        for tolerance in (0.0, 0.1, 2.0):
+            want = [ranges._all_pairs(np.lib.stride_tricks.sliding_window_view(x, n), tolerance) for n in (1, 2, 4)]
+            with np.errstate(invalid="ignore"):
+                for gap in (ranges.gaps(x, room), ranges.gaps(x), None):
+                    got = ranges.near_windows(x, gap, (1, 2, 4), tolerance)
+                    assert all((g == w).all() for g, w in zip(got, want))
+    assert ranges.gaps(np.zeros(ranges.ALL_PAIRS + 1)) is None
+
+
+def test_segments_over_batch_borders(spark):
+    """Many segments in a call, also where one needs several batches; keys without a value or equal under another name."""
+    key, size = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rng = np.random.default_rng(4)
+    big = 2**60 + 1
+    lengths = {("a", big): 75, ("a", None): 20, (None, big): 41, (None, None): 3, ("b", big + 1): 1, ("c", 0): 600}
+    series = {k: rng.normal(size=n).round(1) for k, n in lengths.items()}
+    rows = [(*k, p, float(v)) for k, x in series.items() for p, v in enumerate(x)] + [("a", big, 75, None), ("d", 1, 0, None)]
+    df = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "name string, k bigint, pos bigint, v double")
+    wants, names = {}, [f"fft_{c}" for c in ("centroid", "variance", "skew", "kurtosis")]
+    for (a, k), x in series.items():
+        for s in range(0, len(x), 20):
+            part = x[s : s + 20]
+            e = spectral._spectrum(part)
+            entropies = spectral._approximate_entropy(part, None, 2, 0.5), spectral._sample_entropy(part, None)
+            wants[a, k, s // 20] = [len(part), *(e[c] for c in names), *entropies]
+    try:
+        for most in ("1", "7", "10000"):
+            spark.conf.set(key, most)
+            out = spectral.segment_features(df, ["name", "k"], "v", 20)
+            assert "FlatMapGroups" not in out._jdf.queryExecution().toString()  # a call per segment
+            got = {tuple(r)[:3]: list(r)[3:] for r in out.collect()}
+            assert got.keys() == wants.keys()
+            for k, want in wants.items():
+                assert [v is None for v in got[k]] == [bool(np.isnan(v)) for v in want], k
+                assert np.allclose([v for v in got[k] if v is not None], [v for v in want if not np.isnan(v)]), k
+    finally:
+        spark.conf.set(key, size)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 
 #: Up to this many points all pairs are compared, which is faster than sorting.
@@ -94,3 +96,33 @@ def near_counts(points: np.ndarray, tolerance: float) -> np.ndarray:
             counts[q] += ranks.between(a, b, least[2][q], limit[2][q])
         lo, hi = (lo + 1) >> 1, hi >> 1
     return counts
+
+
+def gaps(x: np.ndarray, room: np.ndarray | None = None) -> np.ndarray | None:
+    """The distances of all pairs of up to ``ALL_PAIRS`` values, of more None.
+
+    ``room`` may be memory for ``ALL_PAIRS ** 2`` numbers, kept for the next series.
+    """
+    n = len(x)
+    if n > ALL_PAIRS:
+        return None
+    out = np.empty((n, n)) if room is None else room[: n * n].reshape(n, n)
+    return np.abs(np.subtract(x[:, None], x, out=out), out=out)
+
+
+def near_windows(x: np.ndarray, gap: np.ndarray | None, sizes: Sequence[int], tolerance: float) -> list[np.ndarray]:
+    """``near_counts`` of the windows of consecutive values, for ascending sizes. ``gap`` is ``gaps(x)``.
+
+    Windows are near where the pairs of their values are, so one matrix of pairs, moved along its diagonal, serves
+    all sizes.
+    """
+    if gap is None:
+        return [near_counts(np.lib.stride_tricks.sliding_window_view(x, size), tolerance) for size in sizes]
+    pairs = gap <= tolerance
+    near, of, counts = pairs, 1, []
+    for size in sizes:
+        for k in range(of, size):
+            near = near[:-1, :-1] & pairs[k:, k:]
+        of = size
+        counts.append(np.add.reduce(near.view(np.uint8), axis=0, dtype=np.uint16).astype(np.int64))
+    return counts

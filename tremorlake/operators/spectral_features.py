@@ -6,14 +6,15 @@ entropies work on consecutive segments of bounded length; near windows are count
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranges import near_counts
+from ..functions.ranges import ALL_PAIRS, gaps, near_windows
 from ..plans import attach, framed
 from ..plans.frames import CHUNK_ROWS, chunk_of
 
@@ -211,28 +212,23 @@ def _spectrum(x: np.ndarray) -> dict[str, float]:
     return {"fft_centroid": m1, "fft_variance": var, "fft_skew": skew, "fft_kurtosis": kurt}
 
 
-def _embedded(x: np.ndarray, m: int) -> np.ndarray:
-    return np.lib.stride_tricks.sliding_window_view(x, m)
-
-
-def _approximate_entropy(x: np.ndarray, m: int, r: float) -> float:
+def _approximate_entropy(x: np.ndarray, gap: np.ndarray | None, m: int, r: float) -> float:
     if len(x) <= m + 1:
         return 0.0
-    tolerance = r * x.std()
-
-    def phi(size: int) -> float:
-        c = near_counts(_embedded(x, size), tolerance) / (len(x) - size + 1)
-        return float(np.log(c).mean())
-
-    return abs(phi(m) - phi(m + 1))
+    fewer, more = (
+        float(np.log(c / len(c)).mean()) for c in near_windows(x, gap, (m, m + 1), r * x.std())
+    )
+    return abs(fewer - more)
 
 
-def _sample_entropy(x: np.ndarray, m: int = 2) -> float:
+def _sample_entropy(x: np.ndarray, gap: np.ndarray | None, m: int = 2) -> float:
     if len(x) <= m + 1:
         return float("nan")
     tolerance = 0.2 * x.std()
-    b = (near_counts(_embedded(x, m)[:-1], tolerance) - 1).sum()
-    a = (near_counts(_embedded(x, m + 1), tolerance) - 1).sum()
+    # As many windows of m as of m + 1 values.
+    (b,) = near_windows(x[:-1], None if gap is None else gap[:-1, :-1], (m,), tolerance)
+    (a,) = near_windows(x, gap, (m + 1,), tolerance)
+    b, a = (b - 1).sum(), (a - 1).sum()
     return float(-np.log(a / b)) if a > 0 and b > 0 else float("nan")
 
 
@@ -249,24 +245,50 @@ def segment_features(
 
     A segment is ``segment_rows`` consecutive rows, so a group never holds more. The length is
     part of what the features mean, so it has no default. Every row belongs to a segment.
+
+    Rows come to Python sorted by segment, many segments in one Arrow batch: a call per segment costs more than its
+    features. A segment that a batch ends in waits for the next one.
     """
-    by = list(by)
+    by = [*by, "segment"]
     rows = df.filter(F.col(value).isNotNull()).select(
-        *by, chunk_of(pos, segment_rows).alias("segment"), F.col(pos).alias("_p"),
+        *by[:-1], chunk_of(pos, segment_rows).alias("segment"), F.col(pos).alias("_p"),
         F.col(value).cast("double").alias("_v"),
     )
-    keys = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
+    rows = rows.withColumn("_row", F.row_number().over(Window.partitionBy(*by).orderBy("_p")))
+    rows = rows.sortWithinPartitions(*by, "_row").select(*by, "_row", "_v")
+    keys = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in by)
     names = [
         "fft_centroid", "fft_variance", "fft_skew", "fft_kurtosis", "approximate_entropy", "sample_entropy",
     ]
-    schema = f"{keys}, segment bigint, n_rows bigint, " + ", ".join(f"{c} double" for c in names)
-
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_p")
-        x = pdf["_v"].to_numpy()
-        row = {c: pdf[c].iloc[0] for c in [*by, "segment"]}
-        row |= {"n_rows": len(x), **_spectrum(x)}
-        row |= {"approximate_entropy": _approximate_entropy(x, m, r), "sample_entropy": _sample_entropy(x, m)}
-        return pd.DataFrame([row])
-
-    return rows.groupBy(*by, "segment").applyInPandas(work, schema)
+    schema = f"{keys}, n_rows bigint, " + ", ".join(f"{c} double" for c in names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room, held = np.empty(ALL_PAIRS * ALL_PAIRS), []
+        for batch in batches:
+            starts = np.flatnonzero(batch.column("_row").to_numpy() == 1)
+            cut = int(starts[-1]) if len(starts) else 0
+            held.append(batch.slice(0, cut))
+            if len(starts):
+                yield from features(held, room)
+                held = []
+            held.append(batch.slice(cut))
+        yield from features(held, room)
+
+    def features(held: list[pa.RecordBatch], room: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not sum(map(len, held)):
+            return
+        rows = pa.Table.from_batches(held)
+        starts = np.flatnonzero(rows["_row"].to_numpy() == 1)
+        segments = np.split(rows["_v"].to_numpy(), starts[1:])
+        found = []
+        for x in segments:
+            gap = gaps(x, room)
+            row = {**_spectrum(x), "approximate_entropy": _approximate_entropy(x, gap, m, r)}
+            found.append(row | {"sample_entropy": _sample_entropy(x, gap)})
+        out = rows.select(by).take(pa.array(starts))
+        out = out.append_column("n_rows", pa.array([len(x) for x in segments], pa.int64()))
+        for c in names:
+            out = out.append_column(c, pa.array([f[c] for f in found], pa.float64(), from_pandas=True))
+        yield from out.to_batches()
+
+    return rows.mapInArrow(work, schema)
